@@ -1,0 +1,6 @@
+"""Intentionally empty: the modelled pipeline is batch only.
+
+The map-only operators (``unpivot_long``, ``enrich_from_dictionary``, the
+scoping functions) accept streaming frames as they are; nothing stateful is
+needed, so nothing is added here.
+"""
