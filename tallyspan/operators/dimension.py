@@ -14,10 +14,12 @@ from tallyspan.operators.enrich import lookup
 def discover_dimension(df: DataFrame, key: str, name: str) -> DataFrame:
     """One row per key with its smallest name as representative.
 
-    Distinct pairs first: they hash-aggregate within each task, whereas a
-    minimum over text directly on the facts would sort all of them.
+    Pairs are counted first: that is a hash aggregate, whereas a minimum over
+    text directly on the facts sorts all of them. The condition on the count
+    keeps the optimizer from dropping this step as redundant.
     """
-    return df.select(key, name).distinct().groupBy(key).agg(F.min(name).alias(name))
+    pairs = df.groupBy(key, name).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 0")
+    return pairs.groupBy(key).agg(F.min(name).alias(name))
 
 
 def override_names(base: DataFrame, overrides: DataFrame, key: str, raw: str, clean: str, out: str) -> DataFrame:

@@ -33,13 +33,13 @@ class Rule:
 
 @dataclass(frozen=True)
 class Slice:
-    """A table that is a row slice of a larger frame.
+    """A table that is a row slice of a larger frame, by SQL condition.
 
     Slices of the same frame are tested in the same pass over it.
     """
 
     frame: DataFrame
-    where: Column
+    where: str
 
 
 def contract(tables: Sequence[str], tests: Mapping[str, Sequence[str]]) -> list[Rule]:
@@ -47,36 +47,50 @@ def contract(tables: Sequence[str], tests: Mapping[str, Sequence[str]]) -> list[
     return [Rule(t, c, test) for t in tables for c, names in tests.items() for test in names]
 
 
-def _row(rule: Rule, n_rows: Column, n_failed: Column) -> Column:
-    return F.struct(
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.test).alias("test"),
-        n_rows.alias("n_rows"),
-        n_failed.alias("n_failed"),
-        (n_failed == 0).alias("passed"),
-    )
+def sql_literal(value: object) -> str:
+    """A value as a SQL literal."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+def _report_rows(rows: Sequence[tuple[Rule, str, str]]) -> str:
+    """Expression for one report row per rule, from its row and failure counts."""
+    structs = [
+        f"named_struct('table_name', {sql_literal(r.table)}, 'column_name', {sql_literal(r.column)}, "
+        f"'test', '{r.test}', 'n_rows', {n}, 'n_failed', {failed}, 'passed', {failed} = 0)"
+        for r, n, failed in rows
+    ]
+    return f"inline(array({', '.join(structs)}))"
 
 
-def _row_tests(frame: DataFrame, rules: Sequence[tuple[Rule, Column]]) -> DataFrame:
+def _failure(rule: Rule) -> str:
+    if rule.test == "not_null":
+        return f"`{rule.column}` is null"
+    accepted = ", ".join(sql_literal(v) for v in rule.values)
+    return f"`{rule.column}` is not null and `{rule.column}` not in ({accepted})"
+
+
+def _row_tests(frame: DataFrame, rules: Sequence[tuple[Rule, str]]) -> DataFrame:
     """All NULL and value-list tests of a frame in one aggregate."""
-    aggs, rows = [], []
+    aggs, rows, tested = [], [], {}
+    for where in dict.fromkeys(where for _, where in rules):
+        tested[where] = f"_n{len(tested)}"
+        aggs.append(F.expr(f"count_if({where}) as {tested[where]}"))
     for i, (rule, where) in enumerate(rules):
-        c = F.col(rule.column)
-        failed = c.isNull() if rule.test == "not_null" else c.isNotNull() & ~c.isin(*rule.values)
-        aggs += [F.count_if(where).alias(f"_n{i}"), F.count_if(where & failed).alias(f"_f{i}")]
-        rows.append(_row(rule, F.col(f"_n{i}"), F.col(f"_f{i}")))
-    return stack_structs(frame.agg(*aggs), [], rows)
+        aggs.append(F.expr(f"count_if(({where}) and ({_failure(rule)})) as _f{i}"))
+        rows.append((rule, tested[where], f"_f{i}"))
+    return frame.agg(*aggs).selectExpr(_report_rows(rows))
 
 
 def _unique_test(frame: DataFrame, rule: Rule) -> DataFrame:
     """Failures are the keys that occur more than once; NULL keys are ignored."""
-    per_key = frame.groupBy(rule.column).agg(F.count(F.lit(1)).alias("_c"))
+    per_key = frame.groupBy(F.col(rule.column).alias("_k")).agg(F.expr("count(1) as _c"))
     found = per_key.agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("_n"),
-        F.count_if(F.col(rule.column).isNotNull() & (F.col("_c") > 1)).alias("_f"),
+        F.expr("coalesce(sum(_c), 0L) as _n"),
+        F.expr("count_if(_k is not null and _c > 1) as _f"),
     )
-    return stack_structs(found, [], [_row(rule, F.col("_n"), F.col("_f"))])
+    return found.selectExpr(_report_rows([(rule, "_n", "_f")]))
 
 
 def _relationship_test(frame: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
@@ -85,30 +99,32 @@ def _relationship_test(frame: DataFrame, parent: DataFrame, rule: Rule) -> DataF
     The child is counted per key before the join, so a key that fills a third
     of the child reaches the join as one row.
     """
-    child = frame.groupBy(F.col(rule.column).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
+    child = frame.groupBy(F.col(rule.column).alias("_k")).agg(F.expr("count(1) as _c"))
     known = parent.select(F.col(rule.parent_column).alias("_k")).where("_k is not null").distinct()
     found = child.join(known.withColumn("_known", F.lit(True)), "_k", "left").agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("_n"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull() & F.col("_k").isNotNull(), F.col("_c"))), F.lit(0))
-        .cast("bigint")
-        .alias("_f"),
+        F.expr("coalesce(sum(_c), 0L) as _n"),
+        F.expr("coalesce(sum(if(_known is null and _k is not null, _c, 0L)), 0L) as _f"),
     )
-    return stack_structs(found, [], [_row(rule, F.col("_n"), F.col("_f"))])
+    return found.selectExpr(_report_rows([(rule, "_n", "_f")]))
 
 
 def run_rules(tables: Mapping[str, DataFrame | Slice], rules: Sequence[Rule]) -> DataFrame:
-    """Report of every rule: ``table, column, test, rows, failures, passed``."""
+    """Report of every rule: ``table, column, test, rows, failures, passed``.
+
+    All row tests on one frame share one pass; a uniqueness or relationship
+    test adds one exchange of its key counts.
+    """
 
     def frame_of(name: str) -> DataFrame:
         t = tables[name]
         return t.frame.where(t.where) if isinstance(t, Slice) else t
 
-    by_frame: dict[int, tuple[DataFrame, list[tuple[Rule, Column]]]] = {}
+    by_frame: dict[int, tuple[DataFrame, list[tuple[Rule, str]]]] = {}
     reports: list[DataFrame] = []
     for rule in rules:
         table = tables[rule.table]
         if rule.test in ("not_null", "accepted_values"):
-            frame, where = (table.frame, table.where) if isinstance(table, Slice) else (table, F.lit(True))
+            frame, where = (table.frame, table.where) if isinstance(table, Slice) else (table, "true")
             by_frame.setdefault(id(frame), (frame, []))[1].append((rule, where))
         elif rule.test == "unique":
             reports.append(_unique_test(frame_of(rule.table), rule))

@@ -23,10 +23,9 @@ def unpivot_long(
     as text cannot break the common value type. ``keep_nulls=False`` drops
     missing cells (typed contracts), ``True`` keeps them (chart series).
     """
-    cells = [F.col(f"`{c}`").cast(value_type).alias(c) if value_type else F.col(f"`{c}`") for c in columns]
-    long = df.select(*[F.col(f"`{i}`") for i in ids], *cells).unpivot(
-        [F.col(f"`{i}`") for i in ids], [F.col(f"`{c}`") for c in columns], name, value
-    )
+    cells = [f"cast(`{c}` as {value_type}) as `{c}`" if value_type else f"`{c}`" for c in columns]
+    typed = df.selectExpr(*[f"`{i}`" for i in ids], *cells)
+    long = typed.unpivot([f"`{i}`" for i in ids], [f"`{c}`" for c in columns], name, value)
     return long if keep_nulls else long.where(F.col(value).isNotNull())
 
 

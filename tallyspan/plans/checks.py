@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.functions.measures import missing_flag
 from tallyspan.operators import scope, summarise
-from tallyspan.operators.quality import Check, Rule, Slice, check_table, contract, reconcile
+from tallyspan.operators.quality import Check, Rule, Slice, check_table, contract, reconcile, sql_literal
 
 KEYS = ["geo_code", "year"]
 ATOMIC_GRAIN = ["geo_code", "year", "metric_key", "sex", "settlement_type"]
@@ -108,10 +107,20 @@ RULES: list[Rule] = [
 ]
 
 
-def tested_tables(models: Mapping[str, DataFrame], long: DataFrame) -> dict[str, DataFrame | Slice]:
-    """The models plus the staging tables, which are slices of one long table."""
-    staged = {f"stg_sdmx_{i}_long": Slice(long, F.col("dataset_id") == i) for i in TESTED_STAGING}
-    return {**models, **staged}
+def tested_tables(models: Mapping[str, DataFrame]) -> dict[str, DataFrame | Slice]:
+    """The models, with staging tables and facts as row slices of the atomic table.
+
+    A staging table's rows are exactly the atomic rows of its dataset, so these
+    tables are all tested in one pass.
+    """
+    atomic = models["int_demography_atomic"]
+    staged = {f"stg_sdmx_{i}_long": Slice(atomic, f"dataset_id = {i}") for i in TESTED_STAGING}
+    flows = ", ".join(sql_literal(g) for g in fv.FLOW_GROUPS)
+    facts = {
+        "fact_population_yearly": Slice(atomic, f"metric_group = {sql_literal(fv.STOCK_GROUP)}"),
+        "fact_demography_flows_yearly": Slice(atomic, f"metric_group in ({flows})"),
+    }
+    return {**models, **staged, **facts}
 
 
 def duplicate_grain(atomic: DataFrame) -> DataFrame:

@@ -516,7 +516,7 @@ def dq_orphan_keys(spark, sf):
 def dq_suite(spark, sf):
     """All declared tests of the warehouse, over the stored tables."""
     atomic = _stored_atomic(spark, sf)
-    return quality.run_rules(checks.tested_tables(wh.build_models(spark, atomic), atomic), checks.RULES)
+    return quality.run_rules(checks.tested_tables(wh.build_models(spark, atomic)), checks.RULES)
 
 
 # --- summaries ---------------------------------------------------------------

@@ -17,13 +17,14 @@ def local_session(cpus: int | str = 8, app_name: str = "tallyspan", **conf: str)
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TALLYSPAN_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

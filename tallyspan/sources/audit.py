@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +47,7 @@ def profile_files(
     the exchange. A file that cannot be a table gets an error text, not a
     failure. A record is a line: quoted line breaks are not joined.
     """
-    files = _files(spark, paths, glob).select(
-        _path().alias("path"),
-        F.col("length").alias("bytes"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+    files = _listing(spark, paths, glob)
     found = _small_files(spark, paths, glob, sha_limit).unionByName(_large_files(spark, paths, glob, sha_limit))
     shape = (
         _lines(spark, paths, glob)
@@ -69,13 +68,30 @@ def profile_files(
         .withColumn("_columns", columns)
         .withColumn("profile_error", error)
         .select(
-            "path", "bytes", "modified_at", "digest_kind", "digest",
+            "path",
+            "bytes",
+            "modified_at",
+            F.coalesce("digest_kind", F.lit("sha256")).alias("digest_kind"),
+            F.coalesce("digest", sha256_hex(F.lit(""))).alias("digest"),
             F.when(fine, F.col("_lines") - 1).alias("rows"),
             F.when(fine, F.size("_columns")).alias("cols"),
             F.when(fine, F.col("_columns")).alias("columns"),
             "profile_error",
         )
-    )
+    )
+
+
+def _listing(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
+    """Every file with its size. Scans skip empty files, the file listing does not;
+    an empty file has no modification time here."""
+    scan = _files(spark, paths, glob)
+    # The listing writes file:///a where a scan's own metadata writes file:/a.
+    names = [re.sub("^file:/+", "file:/", path) for path in scan.inputFiles()]
+    listed = spark.createDataFrame(pa.table({"path": pa.array(names, pa.string())}))
+    sized = scan.select(
+        _path().alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at")
+    )
+    return listed.join(sized, "path", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0).cast("bigint")))
 
 
 def _small_files(spark: SparkSession, paths: str | list[str], glob: str, sha_limit: int) -> DataFrame:
