@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import csv
-import io
-
 from tallyspan import fixed_values as fv
 
 YEARS = list(range(fv.FIRST_YEAR, fv.LAST_YEAR + 1))
-DICTIONARY = list(csv.DictReader(io.StringIO(fv.METRIC_DICTIONARY_CSV)))
 
 
 def _text(value: str) -> str:
@@ -16,7 +12,7 @@ def _text(value: str) -> str:
 
 
 def _values(text: str, numeric: list[str]) -> str:
-    rows = list(csv.DictReader(io.StringIO(text)))
+    rows = fv.rows(text)
     cells = [", ".join(v if c in numeric else _text(v) for c, v in r.items()) for r in rows]
     return f"(VALUES {', '.join(f'({c})' for c in cells)}) AS t({', '.join(rows[0])})"
 

@@ -1,9 +1,19 @@
 """Fixed values of the published warehouse.
 
 Results depend on these exact values, so they are stated here once, as plain
-text, in their natural order. Nothing in this module is logic.
+text, in their natural order. Besides a reader for the tables, nothing in this
+module is logic.
 """
 
+import csv
+import io
+
+
+def rows(text: str) -> list[dict[str, str]]:
+    """The rows of one of the tables below."""
+    return list(csv.DictReader(io.StringIO(text)))
+
+
 # --- fixed values: metric dictionary (one row per published dataset) ---------
 METRIC_DICTIONARY_CSV = """\
 dataset_id,metric_group,metric_key,metric_name_uz,sex,settlement_type,measure_unit,unit_type
@@ -66,7 +76,8 @@ total,Jami,3
 # --- fixed values: published datasets, years, scope --------------------------
 CATALOGUED_DATASETS = [223, 224, 225, 226, 227, 228, 230, 232, 233, 235, 238, 239,
                        242, 243, 244, 245, 246, 247, 248, 268, 269]
-UNSTAGED_DATASETS = [238, 239]
+STAGED_DATASETS = [223, 224, 225, 226, 227, 228, 230, 232, 233, 235,
+                   242, 243, 244, 245, 246, 247, 248, 268, 269]
 RAW_FILE_NAMING = "sdmx_data_{id}.csv"
 RAW_FILE_ID_PATTERN = r"sdmx_data_(\d+)"
 FIRST_YEAR, LAST_YEAR = 2010, 2024

@@ -7,12 +7,14 @@ on these rows exactly as on the statistical extracts.
 
 from __future__ import annotations
 
+from collections.abc import Collection, Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.operators import reshape
-from tallyspan.plans.warehouse import STAGING_COLUMNS, YEARS, demography_atomic
+from tallyspan.plans.warehouse import STAGING_COLUMNS, YEARS, datasets_of, demography_atomic
 from tallyspan.sources import seeds
 
 YEAR_SHIFT = 15
@@ -68,11 +70,11 @@ VALUE_RULES = {
     248: "rank in ('3', '4', '5')",
 }
 
-DATASETS = [str(i) for i in sorted([*COUNT_RULES, *VALUE_RULES])]
+DATASETS = sorted([*COUNT_RULES, *VALUE_RULES])
 
 
-def measures_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per geography and year, one column per dataset.
+def measures_by_geo(spark: SparkSession, sf_dir: str, ids: Collection[int] = DATASETS) -> DataFrame:
+    """One row per geography and year, one column per dataset asked for.
 
     Orders are combined per customer and year before they meet the customer
     table, so a customer with a third of all orders is a handful of rows there.
@@ -85,12 +87,12 @@ def measures_by_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
         "substring(o_orderpriority, 1, 1) as rank",
         "cast(round(o_totalprice * 100) as bigint) as cents",
     )
-    counts = [F.expr(f"count_if({rule}) as `{i}`") for i, rule in COUNT_RULES.items()]
-    cents = [F.expr(f"sum(if({rule}, cents, null)) as `{i}`") for i, rule in VALUE_RULES.items()]
+    counts = [F.expr(f"count_if({rule}) as `{i}`") for i, rule in COUNT_RULES.items() if i in ids]
+    cents = [F.expr(f"sum(if({rule}, cents, null)) as `{i}`") for i, rule in VALUE_RULES.items() if i in ids]
     per_customer = orders.groupBy("c_custkey", "year").agg(*counts, *cents)
     customer = read_table(spark, sf_dir, "customer").drop("c_acctbal")
     placed = per_customer.join(customer, "c_custkey").join(places(spark, sf_dir), "c_nationkey")
-    columns = [f"`{i}`" for i in DATASETS]
+    columns = [f"`{i}`" for i in sorted(ids)]
     cases = " ".join(f"when '{segment}' then '{text}'" for segment, text in SEGMENT_SUFFIX.items())
     # A customer's rows are final; only nations and regions are summed again.
     own = placed.selectExpr(
@@ -119,36 +121,32 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All datasets in the staging contract."""
-    scaled = [
-        f"`{i}` / 100000D as `{i}`" if int(i) in VALUE_RULES else f"`{i}`" for i in DATASETS
-    ]
-    wide = measures_by_geo(spark, sf_dir).selectExpr("geo_code", "geo_name_raw", "year", *scaled)
-    long = reshape.unpivot_long(wide, ["geo_code", "geo_name_raw", "year"], DATASETS, "dataset_id")
+def staged_long(spark: SparkSession, sf_dir: str, ids: Collection[int] = DATASETS) -> DataFrame:
+    """The datasets in the staging contract."""
+    scaled = [f"`{i}` / 100000D as `{i}`" if i in VALUE_RULES else f"`{i}`" for i in sorted(ids)]
+    wide = measures_by_geo(spark, sf_dir, ids).selectExpr("geo_code", "geo_name_raw", "year", *scaled)
+    columns = [str(i) for i in sorted(ids)]
+    long = reshape.unpivot_long(wide, ["geo_code", "geo_name_raw", "year"], columns, "dataset_id")
     return long.withColumn("dataset_id", F.col("dataset_id").cast("int")).select(*STAGING_COLUMNS)
 
 
-def atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conformed table over the derived datasets."""
-    return demography_atomic(staged_long(spark, sf_dir), seeds.dim_metric(spark))
+def atomic(spark: SparkSession, sf_dir: str, keys: Iterable[str] | None = None) -> DataFrame:
+    """The conformed table over the derived datasets.
+
+    With ``keys``, only the datasets behind those metrics are derived.
+    """
+    ids = DATASETS if keys is None else [i for i in datasets_of(keys) if i in DATASETS]
+    return demography_atomic(staged_long(spark, sf_dir, ids), seeds.dim_metric(spark))
 
 
-def wide_extracts(spark: SparkSession, sf_dir: str, ids: list[int] | None = None) -> DataFrame:
+def wide_extracts(spark: SparkSession, sf_dir: str, ids: Collection[int] = DATASETS) -> DataFrame:
     """The datasets in their published layout: one row per geography, one column per year."""
-    long = staged_long(spark, sf_dir)
-    if ids is not None:
-        long = long.where(F.col("dataset_id").isin(*ids))
     wide = reshape.pivot_max(
-        long, ["dataset_id", "geo_code", "geo_name_raw"], {y: F.col("year") == int(y) for y in YEARS}
+        staged_long(spark, sf_dir, ids),
+        ["dataset_id", "geo_code", "geo_name_raw"],
+        {y: F.col("year") == int(y) for y in YEARS},
     )
-    name = F.col("geo_name_raw")
-    return wide.select(
-        "dataset_id",
-        F.col("geo_code").alias("Code"),
-        name.alias("Klassifikator"),
-        name.alias("Klassifikator_ru"),
-        name.alias("Klassifikator_en"),
-        name.alias("Klassifikator_uzc"),
-        *YEARS,
+    names = ["Klassifikator", "Klassifikator_ru", "Klassifikator_en", "Klassifikator_uzc"]
+    return wide.selectExpr(
+        "dataset_id", "geo_code as Code", *[f"geo_name_raw as {n}" for n in names], *[f"`{y}`" for y in YEARS]
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,16 @@ STAGING_COLUMNS = ["dataset_id", "geo_code", "geo_name_raw", "year", "value"]
 YEARS = [str(y) for y in range(fv.FIRST_YEAR, fv.LAST_YEAR + 1)]
 
 
+def datasets_of(keys: Iterable[str] = (), groups: Iterable[str] = ()) -> list[int]:
+    """Ids of the datasets that carry the metrics or metric groups.
+
+    A model that needs a few metrics can thereby open only their sources.
+    """
+    keys, groups = set(keys), set(groups)
+    known = fv.rows(fv.METRIC_DICTIONARY_CSV)
+    return [int(r["dataset_id"]) for r in known if r["metric_key"] in keys or r["metric_group"] in groups]
+
+
 def staging_long(
     wide: DataFrame,
     years: Sequence[str],
@@ -81,7 +91,7 @@ def write_atomic(atomic: DataFrame, path: str) -> None:
     """
     (
         scope.with_region_code(atomic)
-        .sortWithinPartitions("metric_key", "region_code", "geo_code", "year")
+        .sortWithinPartitions("metric_key", "region_code", "geo_code")
         .write.mode("overwrite")
         .partitionBy("metric_key")
         .parquet(path)
@@ -180,9 +190,11 @@ MARTS = [
 ]
 
 
-def build_models(spark: SparkSession, atomic: DataFrame, prefix: str | None = None) -> dict[str, DataFrame]:
+def build_models(
+    spark: SparkSession, atomic: DataFrame, prefix: str | None = None, geo: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Every model above the atomic table, by its published name."""
-    geo = dim_geo(atomic, seeds.geo_override(spark))
+    geo = dim_geo(atomic, seeds.geo_override(spark)) if geo is None else geo
     return {
         "int_demography_atomic": atomic,
         "dim_geo": geo,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -40,9 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SHARED_DIR_CONF} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="tallyspan-")
-    spark.conf.set(SHARED_DIR_CONF, fallback)
-    return fallback
+    return _local_folder(spark.conf.get("spark.app.id"))
+
+
+@functools.cache
+def _local_folder(app_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tallyspan-{app_id}-")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:

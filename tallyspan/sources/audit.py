@@ -28,7 +28,7 @@ def _path() -> Column:
 
 
 def _field_count(line: Column) -> Column:
-    bare = F.regexp_replace(line, '"[^"]*"', "")
+    bare = F.when(line.contains('"'), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 

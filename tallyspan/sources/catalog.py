@@ -46,8 +46,7 @@ def register_views(models: Mapping[str, DataFrame]) -> list[str]:
 
 def register_staging_views(long: DataFrame) -> list[str]:
     """``stg_sdmx_<id>_long`` for every staged dataset, as slices of the long table."""
-    staged = [i for i in fv.CATALOGUED_DATASETS if i not in fv.UNSTAGED_DATASETS]
-    return register_views({f"stg_sdmx_{i}_long": long.where(long["dataset_id"] == i) for i in staged})
+    return register_views({f"stg_sdmx_{i}_long": long.where(long["dataset_id"] == i) for i in fv.STAGED_DATASETS})
 
 
 def optional_table(spark: SparkSession, name: str) -> DataFrame | None:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +20,7 @@ _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
 
 def packaged(spark: SparkSession, text: str, schema: str) -> DataFrame:
     """A packaged seed as a local relation, whose exact size the planner knows."""
-    rows = list(csv.DictReader(io.StringIO(text)))
+    rows = fv.rows(text)
     columns = {}
     for name, kind in (field.split() for field in schema.split(", ")):
         cast = str if kind == "string" else int
