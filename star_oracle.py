@@ -196,7 +196,8 @@ def not_null(table: str, column: str, source: str | None = None) -> str:
 
 def unique(table: str, column: str) -> str:
     counted = f"(SELECT {column} AS k, count(*) AS c FROM {table} GROUP BY 1) g"
-    return dq_row(table, column, "unique", "coalesce(sum(c), 0)", "count(*) FILTER (WHERE k IS NOT NULL AND c > 1)", counted)
+    repeated = "count(*) FILTER (WHERE k IS NOT NULL AND c > 1)"
+    return dq_row(table, column, "unique", "coalesce(sum(c), 0)", repeated, counted)
 
 
 def accepted(table: str, column: str, values) -> str:
@@ -205,7 +206,8 @@ def accepted(table: str, column: str, values) -> str:
 
 
 def relationships(table: str, column: str, parent: str, key: str) -> str:
-    bad = f"count(*) FILTER (WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL))"
+    known = f"SELECT {key} FROM {parent} WHERE {key} IS NOT NULL"
+    bad = f"count(*) FILTER (WHERE {column} IS NOT NULL AND {column} NOT IN ({known}))"
     return dq_row(table, column, "relationships", "count(*)", bad, table)
 
 
@@ -227,7 +229,8 @@ mart_population_split_yearly AS (SELECT DISTINCT geo_code, year FROM scoped WHER
 mart_metric_coverage AS (SELECT DISTINCT metric_key, year FROM scoped)"""
     tests = [not_null("dim_metric", c) for c in ["dataset_id", "metric_group", "metric_key"]]
     tests += [unique("dim_metric", "dataset_id"), accepted("dim_metric", "metric_group", groups)]
-    tests += [not_null("geo_override", c) for c in ["geo_code", "geo_name_clean"]] + [unique("geo_override", "geo_code")]
+    tests += [not_null("geo_override", c) for c in ["geo_code", "geo_name_clean"]]
+    tests += [unique("geo_override", "geo_code")]
     tests += [
         not_null(f"stg_sdmx_{i}_long", c, f"(SELECT * FROM atomic WHERE dataset_id = {i}) s")
         for i in staged for c in ["dataset_id", "geo_code", "year"]
@@ -241,7 +244,7 @@ mart_metric_coverage AS (SELECT DISTINCT metric_key, year FROM scoped)"""
     tests += [not_null("dim_geo", c) for c in ["geo_code", "geo_name", "geo_level"]]
     tests += [unique("dim_geo", "geo_code"), accepted("dim_geo", "geo_level", levels)]
     tests += [not_null("dim_sex", "sex_id"), unique("dim_sex", "sex_id")]
-    tests += [not_null("dim_settlement_type", "settlement_type_id"), unique("dim_settlement_type", "settlement_type_id")]
+    tests += [check("dim_settlement_type", "settlement_type_id") for check in (not_null, unique)]
     tests += [not_null("fact_population_yearly", c) for c in ["geo_code", "year", "metric_key"]]
     tests += [accepted("fact_population_yearly", "metric_key", fv.POPULATION_MEASURES)]
     tests += [not_null("fact_demography_flows_yearly", "metric_group"),

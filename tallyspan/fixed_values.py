@@ -76,6 +76,7 @@ total,Jami,3
 # --- fixed values: published datasets, years, scope --------------------------
 CATALOGUED_DATASETS = [223, 224, 225, 226, 227, 228, 230, 232, 233, 235, 238, 239,
                        242, 243, 244, 245, 246, 247, 248, 268, 269]
+UNSTAGED_DATASETS = [238, 239]  # catalogued only
 STAGED_DATASETS = [223, 224, 225, 226, 227, 228, 230, 232, 233, 235,
                    242, 243, 244, 245, 246, 247, 248, 268, 269]
 RAW_FILE_NAMING = "sdmx_data_{id}.csv"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tallyspan.operators.enrich import union_sources
 from tallyspan.plans.warehouse import STAGING_COLUMNS, YEARS, demography_atomic, read_atomic, staging_long, write_atomic
 from tallyspan.session import new_shared_path
 from tallyspan.sources import seeds
-from tallyspan.sources.wide_csv import header_groups, scan_group
+from tallyspan.sources.wide_csv import audited_groups, header_groups, scan_group
 
 
 def scan_staging(
@@ -20,18 +20,41 @@ def scan_staging(
     sources: Mapping[int, str],
     years: Sequence[str] = YEARS,
     first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
+    skip: Collection[int] = fv.UNSTAGED_DATASETS,
 ) -> DataFrame:
     """All sources as one long table.
 
     Years outside the list are ignored even where a file has them; a dataset
-    with its own first year is cut there. Sources that share a header are one
-    scan, so the plan grows with the number of headers, not of datasets.
+    with its own first year is cut there; ``skip`` names sources that are
+    catalogued but not staged. Sources that share a header are one scan, so the
+    plan grows with the number of headers, not of datasets.
     """
-    groups = header_groups(spark, sources)
+    groups = header_groups(spark, {i: path for i, path in sources.items() if i not in skip})
+    return _staged(spark, groups, years, first_years, skip)
+
+
+def scan_audited(
+    spark: SparkSession,
+    records: DataFrame,
+    years: Sequence[str] = YEARS,
+    first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
+    skip: Collection[int] = fv.UNSTAGED_DATASETS,
+) -> DataFrame:
+    """:func:`scan_staging` over the readable files of audit records."""
+    return _staged(spark, audited_groups(records), years, first_years, skip)
+
+
+def _staged(
+    spark: SparkSession,
+    groups: Mapping[tuple[str, ...], list[str]],
+    years: Sequence[str],
+    first_years: Mapping[int, int],
+    skip: Collection[int],
+) -> DataFrame:
     long = union_sources(staging_long(scan_group(spark, h, paths), years) for h, paths in groups.items())
     for dataset_id, year in first_years.items():
         long = long.where((F.col("dataset_id") != dataset_id) | (F.col("year") >= year))
-    return long.select(*STAGING_COLUMNS)
+    return long.where(~F.col("dataset_id").isin(*skip)).select(*STAGING_COLUMNS) if skip else long
 
 
 def build_atomic(

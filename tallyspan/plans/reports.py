@@ -10,8 +10,13 @@ from tallyspan.functions.text import code_label, two_decimals, whole_number
 from tallyspan.operators import reshape, scope, summarise
 
 
-def scoped(mart: DataFrame, prefix: str | None = None, first: int | None = None, last: int | None = None,
-           geo: int | None = None) -> DataFrame:
+def scoped(
+    mart: DataFrame,
+    prefix: str | None = None,
+    first: int | None = None,
+    last: int | None = None,
+    geo: int | None = None,
+) -> DataFrame:
     """Mart rows of a prefix, a year range and optionally one geography."""
     rows = scope.year_range(scope.in_prefix(mart, prefix), first, last)
     return rows if geo is None else scope.slice_on(rows, geo_code=geo)
@@ -26,10 +31,13 @@ def geo_options(overview: DataFrame) -> DataFrame:
 def latest_cards(overview: DataFrame) -> DataFrame:
     """Headline figures of every geography at its own latest year, as text."""
     counts = ["population_total", "birth_total", "death_total", "natural_increase", "net_migration"]
-    latest = summarise.latest_per_key(
-        overview.select("geo_code", "year", *counts, "cbr_per_1000"), ["geo_code"], "year")
+    figures = overview.select("geo_code", "year", *counts, "cbr_per_1000")
+    latest = summarise.latest_per_key(figures, ["geo_code"], "year")
     return latest.select(
-        "geo_code", "year", *[whole_number(c).alias(c) for c in counts], two_decimals("cbr_per_1000").alias("cbr_per_1000")
+        "geo_code",
+        "year",
+        *[whole_number(c).alias(c) for c in counts],
+        two_decimals("cbr_per_1000").alias("cbr_per_1000"),
     )
 
 

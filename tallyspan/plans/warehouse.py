@@ -85,13 +85,13 @@ def write_atomic(atomic: DataFrame, path: str) -> None:
     """Store the conformed table for all later reads.
 
     Partitioned by metric, so a mart opens only its own metrics; sorted within
-    each task by region and code, so a region scope skips row groups. A local
-    sort only: no exchange, hence no hot partition when one metric or region
-    dominates.
+    each task by code, which puts a region's codes of one length side by side,
+    so a region scope skips row groups and pages. A local sort only: no
+    exchange, hence no hot partition when one metric or region dominates.
     """
     (
         scope.with_region_code(atomic)
-        .sortWithinPartitions("metric_key", "region_code", "geo_code")
+        .sortWithinPartitions("metric_key", "geo_code")
         .write.mode("overwrite")
         .partitionBy("metric_key")
         .parquet(path)

@@ -22,6 +22,8 @@ def local_session(cpus: int | str = 8, app_name: str = "tallyspan", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test tables would otherwise shrink to fewer tasks than cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", os.environ.get("TALLYSPAN_DRIVER_MEMORY", "8g"))
     )
     for key, value in conf.items():

@@ -26,8 +26,14 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(c.lstrip("\ufeff").strip() for c in spark.read.csv(path, header=True, escape='"').columns)
 
 
-def header_groups(spark: SparkSession, sources: Mapping[int, str], threads: int = 8) -> dict[tuple[str, ...], list[str]]:
-    """Sources that share a header, so that each group is one scan."""
+def header_groups(
+    spark: SparkSession, sources: Mapping[int, str], threads: int = 8
+) -> dict[tuple[str, ...], list[str]]:
+    """Sources that share a header, so that each group is one scan.
+
+    One small job per source; with very many sources use the headers the audit
+    has already read (:func:`audited_groups`).
+    """
     with ThreadPoolExecutor(threads) as pool:
         headers = pool.map(lambda path: header_of(spark, path), sources.values())
     groups: dict[tuple[str, ...], list[str]] = {}
@@ -36,12 +42,26 @@ def header_groups(spark: SparkSession, sources: Mapping[int, str], threads: int
     return groups
 
 
+def audited_groups(records: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Header groups of all readable files in audit records, without further jobs per file.
+
+    Names the files to scan, which the driver lists for any scan.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    readable = records.where("columns is not null and path is not null").select("columns", "path")
+    for columns, path in readable.toLocalIterator():
+        groups.setdefault(tuple(columns), []).append(path)
+    return groups
+
+
 def source_schema(header: Sequence[str]) -> T.StructType:
     """Codes as long, everything else as text: an empty year column stays harmless."""
     return T.StructType([T.StructField(c, ID_COLUMNS.get(c, T.StringType())) for c in header])
 
 
-def scan_group(spark: SparkSession, header: Sequence[str], paths: Sequence[str], id_pattern: str = fv.RAW_FILE_ID_PATTERN) -> DataFrame:
+def scan_group(
+    spark: SparkSession, header: Sequence[str], paths: Sequence[str], id_pattern: str = fv.RAW_FILE_ID_PATTERN
+) -> DataFrame:
     """One scan over all sources with this header, tagged with the id in the path.
 
     ``enforceSchema=False`` makes a file whose header deviates an error; with

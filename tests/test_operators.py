@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions import measures as ms
 from tallyspan.functions import text as tx
-from tallyspan.operators import dimension, enrich, quality, reshape, scope, summarise
+from tallyspan.operators import enrich, quality, reshape, scope, summarise
 from tallyspan.operators.quality import Check, Rule, Slice
 from tallyspan.plans import checks, reports
 from tallyspan.plans import warehouse as wh
