@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -73,29 +73,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "row_count") -
 
 
 def rolling_average(df: DataFrame, keys: Sequence[str], year: str, value: str, span: int, out: str) -> DataFrame:
-    """Average over the ``span`` years up to each year that has data.
+    """Average over the ``span`` calendar years up to each year that has data.
 
-    Sums and counts per (key, year) are formed first. Each is then added to the
-    ``span`` years it belongs to, which are again grouped by (key, year): no
-    window, so no key's history has to fit in one task.
+    Values are reduced to one sum and count per (key, year) before the window,
+    so a hot key reaches its task as one row per calendar year, however many
+    rows it had.
     """
     yearly = df.groupBy(*keys, year).agg(F.sum(value).alias("_sum"), F.count(value).alias("_cnt"))
-    spread = yearly.select(
-        *keys,
-        "_sum",
-        "_cnt",
-        F.col(year).alias("_from"),
-        F.explode(F.sequence(F.col(year), F.col(year) + F.lit(span - 1))).alias(year),
-    )
-    return (
-        spread.groupBy(*keys, year)
-        .agg(
-            (F.sum("_sum") / F.nullif(F.sum("_cnt"), F.lit(0))).alias(out),
-            F.max((F.col("_from") == F.col(year)).cast("int")).alias("_own"),
-        )
-        .where(F.col("_own") == 1)
-        .select(*keys, year, out)
-    )
+    recent = Window.partitionBy(*keys).orderBy(year).rangeBetween(-(span - 1), 0)
+    known = F.nullif(F.sum("_cnt").over(recent), F.lit(0))
+    return yearly.select(*keys, year, (F.sum("_sum").over(recent) / known).alias(out))
 
 
 def status_counts(df: DataFrame, status: str = "status", out: str = "items") -> DataFrame:
