@@ -167,6 +167,24 @@ def test_line_digest_sees_changes(spark, tmp_path):
     assert digest("a,b\n1,2\n") != digest("a,b\n1,3\n") != digest("a,b\n1,3\n1,3\n")
 
 
+def test_profile_of_a_file_in_many_splits(spark, tmp_path):
+    lines = ["id,name"] + [f"{i},n{i}" for i in range(20000)]
+    (tmp_path / "big.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        whole = audit.profile_files(spark, str(tmp_path)).first()
+        split = audit.profile_files(spark, str(tmp_path), sha_limit=1).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert whole["digest"] == hashlib.sha256((tmp_path / "big.csv").read_bytes()).hexdigest()
+    for row in (whole, split):
+        assert (row["rows"], row["cols"], row["columns"]) == (20000, 2, ["id", "name"])
+    again = audit.profile_files(spark, str(tmp_path), sha_limit=1).first()
+    assert (again["digest"], again["digest_kind"]) == (split["digest"], "lines")
+
+
 def test_audit_records_every_item(spark, landed, tmp_path):
     folder, _ = landed
     expected = spark.createDataFrame(
