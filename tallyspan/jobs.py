@@ -20,12 +20,15 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Raw extracts to stored tables under ``root``; returns every model by name.
 
-    The atomic table, the geography dimension and the marts are written. Facts
-    are row slices of the atomic table and stay views over it. The overview
-    mart reads the stored dimension instead of deriving it again.
+    The atomic table, the geography dimension and the marts are written, and
+    under ``rejected_cells`` any cells that are not numbers. Facts are row
+    slices of the atomic table and stay views over it. The overview mart reads
+    the stored dimension instead of deriving it again.
     """
     root = root.rstrip("/")
-    atomic = ingest.build_atomic(spark, sources, f"{root}/int_demography_atomic")
+    atomic = ingest.build_atomic(
+        spark, sources, f"{root}/int_demography_atomic", rejects_path=f"{root}/rejected_cells"
+    )
     wh.dim_geo(atomic, seeds.geo_override(spark)).write.mode("overwrite").parquet(f"{root}/dim_geo")
     models = wh.build_models(spark, atomic, prefix, spark.read.parquet(f"{root}/dim_geo"))
     for name in wh.MARTS:

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.operators.enrich import union_sources
-from tallyspan.plans.warehouse import STAGING_COLUMNS, YEARS, demography_atomic, read_atomic, staging_long, write_atomic
+from tallyspan.plans.warehouse import (
+    STAGING_COLUMNS,
+    YEARS,
+    demography_atomic,
+    read_atomic,
+    rejected_cells,
+    staging_long,
+    write_atomic,
+)
 from tallyspan.session import new_shared_path
 from tallyspan.sources import seeds
 from tallyspan.sources.wide_csv import audited_groups, header_groups, scan_group
@@ -21,16 +29,18 @@ def scan_staging(
     years: Sequence[str] = YEARS,
     first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
     skip: Collection[int] = fv.UNSTAGED_DATASETS,
+    rejected: list[Observation] | None = None,
 ) -> DataFrame:
     """All sources as one long table.
 
     Years outside the list are ignored even where a file has them; a dataset
     with its own first year is cut there; ``skip`` names sources that are
     catalogued but not staged. Sources that share a header are one scan, so the
-    plan grows with the number of headers, not of datasets.
+    plan grows with the number of headers, not of datasets. ``rejected``
+    receives one observation of bad cells per scan.
     """
     groups = header_groups(spark, {i: path for i, path in sources.items() if i not in skip})
-    return _staged(spark, groups, years, first_years, skip)
+    return _staged(spark, groups, years, first_years, skip, rejected)
 
 
 def scan_audited(
@@ -50,21 +60,43 @@ def _staged(
     years: Sequence[str],
     first_years: Mapping[int, int],
     skip: Collection[int],
+    rejected: list[Observation] | None = None,
 ) -> DataFrame:
-    long = union_sources(staging_long(scan_group(spark, h, paths), years) for h, paths in groups.items())
+    staged = []
+    for header, paths in groups.items():
+        seen = None if rejected is None else Observation()
+        staged.append(staging_long(scan_group(spark, header, paths), years, rejected=seen))
+        if seen is not None:
+            rejected.append(seen)
+    long = union_sources(staged)
     for dataset_id, year in first_years.items():
         long = long.where((F.col("dataset_id") != dataset_id) | (F.col("year") >= year))
     return long.where(~F.col("dataset_id").isin(*skip)).select(*STAGING_COLUMNS) if skip else long
 
 
+def scan_rejected(spark: SparkSession, sources: Mapping[int, str], years: Sequence[str] = YEARS) -> DataFrame:
+    """Every filled cell of the sources that is not a number."""
+    groups = header_groups(spark, sources)
+    return union_sources(rejected_cells(scan_group(spark, h, paths), years) for h, paths in groups.items())
+
+
 def build_atomic(
-    spark: SparkSession, sources: Mapping[int, str], path: str | None = None, dictionary: DataFrame | None = None
+    spark: SparkSession,
+    sources: Mapping[int, str],
+    path: str | None = None,
+    dictionary: DataFrame | None = None,
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """Scan, unpivot, enrich and store; returns the stored table.
 
     The whole chain is map-only: no exchange between the files and the table.
+    Bad cells are counted on the way; only if there are any does a second scan
+    list them at ``rejects_path``.
     """
     path = path or new_shared_path(spark, "atomic")
     dictionary = seeds.dim_metric(spark) if dictionary is None else dictionary
-    write_atomic(demography_atomic(scan_staging(spark, sources), dictionary), path)
+    counted: list[Observation] | None = [] if rejects_path else None
+    write_atomic(demography_atomic(scan_staging(spark, sources, rejected=counted), dictionary), path)
+    if counted and any(o.get.get("rejected", 0) for o in counted):
+        scan_rejected(spark, sources).write.mode("overwrite").parquet(rejects_path)
     return read_atomic(spark, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
@@ -32,13 +32,17 @@ def staging_long(
     dataset_id: int | None = None,
     code: str = "Code",
     name: str = "Klassifikator",
+    rejected: Observation | None = None,
 ) -> DataFrame:
     """Wide extract to the long contract, one typed row per known cell.
 
     Cells that are not numbers become NULL and are dropped here;
-    :func:`rejected_cells` lists them.
+    :func:`rejected_cells` lists them. ``rejected`` observes their number in
+    whatever job runs the result.
     """
     cells = _raw_cells(wide, years, dataset_id, code, name)
+    if rejected is not None:
+        cells = cells.observe(rejected, F.count_if(_is_bad()).alias("rejected"))
     return cells.withColumn("value", _number("cell")).where("value is not null").select(*STAGING_COLUMNS)
 
 
@@ -51,14 +55,17 @@ def rejected_cells(
 ) -> DataFrame:
     """Filled cells that are not numbers, as found."""
     cells = _raw_cells(wide, years, dataset_id, code, name)
-    bad = (F.btrim("cell") != "") & _number("cell").isNull()
-    return cells.where(bad).select("dataset_id", "geo_code", "geo_name_raw", "year", "cell")
+    return cells.where(_is_bad()).select("dataset_id", "geo_code", "geo_name_raw", "year", "cell")
 
 
-def _number(cell: str):
+def _number(cell: str) -> Column:
     return F.col(cell).try_cast("double")
 
 
+def _is_bad() -> Column:
+    return (F.btrim("cell") != "") & _number("cell").isNull()
+
+
 def _raw_cells(wide: DataFrame, years: Sequence[str], dataset_id: int | None, code: str, name: str) -> DataFrame:
     tagged = wide if dataset_id is None else wide.withColumn("dataset_id", F.lit(dataset_id))
     present = scope.existing(tagged, list(years))

@@ -76,6 +76,14 @@ def test_build_atomic_is_stored_and_drops_unknown_datasets(spark, extracts, plan
         (1714, 2010, 10.0, 4.0), (1714401, 2011, 20.5, None)]
 
 
+def test_build_lists_bad_cells_only_when_there_are_any(spark, extracts, tmp_path):
+    rejects = tmp_path / "rejects"
+    ingest.build_atomic(spark, {224: extracts[224], 246: extracts[246]}, rejects_path=str(rejects))
+    assert not rejects.exists()
+    ingest.build_atomic(spark, extracts, rejects_path=str(rejects))
+    assert rows(spark.read.parquet(str(rejects))) == [(223, 1714401, "Namangan shahri", 2010, "-")]
+
+
 def test_raw_tables_are_replaceable(spark, extracts):
     for _ in range(2):
         names = catalog.register_sources(spark, {223: extracts[223]}, "raw_test")
