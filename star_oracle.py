@@ -268,7 +268,7 @@ _catalogued = f"(SELECT * FROM {_values(fv.METRIC_DICTIONARY_CSV, ['dataset_id']
 SQL: dict[str, str] = {
     "unpivot_drop_nulls": f"WITH {RATES} {melt('rates', _ids, ['discount', 'tax'], 'rate', keep_nulls=False)}",
     "unpivot_keep_nulls": f"WITH {RATES} {melt('rates', _ids, ['discount', 'tax'], 'rate')}",
-    "unpivot_restricted_years": f"WITH {LONG} SELECT * FROM long WHERE dataset_id = 245 AND year >= 2014",
+    "unpivot_restricted_years": f"WITH {LONG} SELECT * FROM long WHERE year >= 2014",
     "staging_contract": f"WITH {LONG} SELECT * FROM long",
     "conditional_pivot": """SELECT l_orderkey, max(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qty_a,
         max(l_quantity) FILTER (WHERE l_returnflag = 'R') AS qty_r FROM lineitem GROUP BY 1""",
@@ -277,12 +277,11 @@ SQL: dict[str, str] = {
     "rejected_cells": """SELECT 223 AS dataset_id, p_partkey AS geo_code, p_name AS geo_name_raw,
         CAST(2011 AS INTEGER) AS year, p_type AS cell FROM part
         WHERE p_type IS NOT NULL AND TRY_CAST(p_type AS DOUBLE) IS NULL""",
-    "csv_extracts_to_atomic": f"""WITH {ATOMIC} SELECT {_atomic_columns} FROM atomic
-        WHERE dataset_id IN (223, 224, 225, 244, 246)""",
-    "raw_source_tables": f"""WITH {LONG} SELECT geo_code AS code, geo_name_raw AS klassifikator,
-        {", ".join(f"max(value) FILTER (WHERE year = {y}) AS y{y}" for y in YEARS)}
-        FROM long WHERE dataset_id = 223 GROUP BY 1, 2""",
-    "staging_views": f"WITH {LONG} SELECT * FROM long WHERE dataset_id IN (223, 244)",
+    "csv_extracts_to_atomic": f"WITH {ATOMIC} SELECT {_atomic_columns} FROM atomic",
+    "raw_source_tables": f"""WITH {LONG} SELECT 'raw.sdmx_data_' || dataset_id AS table_name, geo_code AS code,
+        geo_name_raw AS klassifikator, {", ".join(f"max(value) FILTER (WHERE year = {y}) AS y{y}" for y in YEARS)}
+        FROM long GROUP BY 1, 2, 3""",
+    "staging_views": f"WITH {LONG} SELECT * FROM long",
     "manifest_rows": """SELECT CAST(page_id AS VARCHAR) AS dataset_id, url, 'page_' || page_id || '.html' AS filename,
         '' AS title_uz, '' AS metric_key, 'yearly' AS periodicity, '' AS notes FROM pages""",
     "file_audit": f"""WITH {LONG}, per AS (SELECT dataset_id, count(DISTINCT geo_code) AS n FROM long GROUP BY 1)

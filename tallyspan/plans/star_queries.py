@@ -54,10 +54,11 @@ def _stored_atomic(spark: SparkSession, sf: str) -> DataFrame:
     return wh.read_atomic(spark, path)
 
 
-def _written_extracts(spark: SparkSession, sf: str, ids: list[int] = star.DATASETS) -> str:
+def _written_extracts(spark: SparkSession, sf: str) -> dict[int, str]:
+    """All datasets as wide CSV in the shared folder; id to path."""
     path = new_shared_path(spark, "extracts")
-    wide_csv.write_wide(star.wide_extracts(spark, sf, ids), path)
-    return path
+    wide_csv.write_wide(star.wide_extracts(spark, sf), path)
+    return wide_csv.registry(path, star.DATASETS, wide_csv.WRITTEN_NAMING)
 
 
 def _table(name: str) -> Query:
@@ -95,7 +96,7 @@ def unpivot_keep_nulls(spark, sf):
 @query
 def unpivot_restricted_years(spark, sf):
     late = [y for y in wh.YEARS if int(y) >= fv.DATASET_FIRST_YEAR[244]]
-    return wh.staging_long(star.wide_extracts(spark, sf, [245]), late)
+    return wh.staging_long(star.wide_extracts(spark, sf), late)
 
 
 @query
@@ -137,28 +138,25 @@ def rejected_cells(spark, sf):
 
 @query
 def csv_extracts_to_atomic(spark, sf):
-    ids = [223, 224, 225, 244, 246]
-    root = _written_extracts(spark, sf, ids)
-    return ingest.build_atomic(spark, wide_csv.registry(root, ids, wide_csv.WRITTEN_NAMING)).drop("region_code")
+    return ingest.build_atomic(spark, _written_extracts(spark, sf)).drop("region_code")
 
 
 @query
 def raw_source_tables(spark, sf):
-    root = _written_extracts(spark, sf, [223])
-    sources = wide_csv.registry(root, [223], wide_csv.WRITTEN_NAMING)
-    (name,) = catalog.register_sources(spark, sources, "raw", new_shared_path(spark, "raw-schema"))
-    raw = spark.table(name)
-    return raw.select(
-        F.col("Code").alias("code"),
-        F.col("Klassifikator").alias("klassifikator"),
-        *[F.col(f"`{y}`").cast("double").alias(f"y{y}") for y in wh.YEARS],
+    """The raw tables as registered, one per dataset."""
+    names = catalog.register_sources(spark, _written_extracts(spark, sf), "raw", new_shared_path(spark, "raw-schema"))
+    years = [f"cast(`{y}` as double) as y{y}" for y in wh.YEARS]
+    return enrich.union_sources(
+        spark.table(name).selectExpr(f"'{name}' as table_name", "Code as code", "Klassifikator as klassifikator", *years)
+        for name in names
     )
 
 
 @query
 def staging_views(spark, sf):
-    catalog.register_staging_views(star.staged_long(spark, sf, [223, 244]))
-    return spark.table("stg_sdmx_223_long").unionByName(spark.table("stg_sdmx_244_long"))
+    """All staging views by name, put together again."""
+    long = _stored_atomic(spark, sf).select(*wh.STAGING_COLUMNS)
+    return enrich.union_sources(spark.table(name) for name in catalog.register_staging_views(long))
 
 
 @query
@@ -175,7 +173,7 @@ def manifest_rows(spark, sf):
 
 def _extract_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Audit of the written extracts against a manifest of all catalogued datasets."""
-    root = _written_extracts(spark, sf)
+    landed = list(_written_extracts(spark, sf).values())
     expected = seeds.dim_metric(spark).select(
         F.col("dataset_id").cast("string").alias("dataset_id"),
         F.format_string("sdmx_data_%d.csv", F.col("dataset_id")).alias("filename"),
@@ -183,7 +181,7 @@ def _extract_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
     filename = F.concat(F.regexp_extract("path", "source=([^/]+)/", 1), F.lit(".csv"))
     path = new_shared_path(spark, "audit")
-    fa.write_audit(fa.audit(spark, expected, root, filename=filename), path)
+    fa.write_audit(fa.audit(spark, expected, landed, filename=filename), path)
     return spark.read.schema(
         "dataset_id string, metric_key string, status string, bytes bigint, digest_kind string, digest string, "
         "rows bigint, cols int, columns array<string>, profile_error string"
