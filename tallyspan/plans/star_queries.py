@@ -34,9 +34,11 @@ def _geo(spark: SparkSession, sf: str) -> DataFrame:
     return wh.dim_geo(star.atomic(spark, sf), seeds.geo_override(spark))
 
 
-def _overview(spark: SparkSession, sf: str, prefix: str | None = None) -> DataFrame:
+def _overview(spark: SparkSession, sf: str, prefix: str | None = None, population_unit: float = 1.0) -> DataFrame:
     # The dimension needs every dataset, so both read the same rows and share their exchange.
-    return wh.mart_region_overview_yearly(star.atomic(spark, sf), _geo(spark, sf), prefix)
+    atomic = star.atomic(spark, sf)
+    geo = wh.dim_geo(atomic, seeds.geo_override(spark))
+    return wh.mart_region_overview_yearly(atomic, geo, prefix, population_unit)
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
@@ -387,7 +389,7 @@ def mart_region_overview_yearly(spark, sf):
 
 @query
 def mart_region_overview_true_rates(spark, sf):
-    return wh.mart_region_overview_yearly(star.atomic(spark, sf), _geo(spark, sf), population_unit=1000)
+    return _overview(spark, sf, population_unit=1000)
 
 
 @query

@@ -230,6 +230,12 @@ def test_export_skips_what_fails(spark, tmp_path):
     assert rows(spark.read.schema("id bigint").csv(f"{out}/two_rows", header=True)) == [(0,), (1,)]
 
 
+def test_export_survives_a_table_that_fails_while_it_runs(spark, tmp_path):
+    catalog.register_views({"breaks": spark.range(3).selectExpr("raise_error('no') as x"), "works": spark.range(1)})
+    status = {r["table_name"]: r["status"] for r in export.export_tables(spark, ["breaks", "works"], str(tmp_path)).collect()}
+    assert status == {"breaks": "failed", "works": "ok"}
+
+
 def test_shared_folder_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
