@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import rules, sharding, warc
+from tallyspan.llm import pieces, rules, sharding, warc
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
 _BASE32 = """array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex_sha1, 5 * i + 1, 5))::INT >> s) & 31)::INT + 1, 1)), '')), '')"""
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archives": lambda spark, sf: warc.page_archives(table(spark, sf, "pages")),
     "op2_quality_ledger": lambda spark, sf: rules.judged(table(spark, sf, "documents")),
+    "op3_sentencepiece": lambda spark, sf: pieces.encoded_digests(table(spark, sf, "documents"), PIECE_MODEL),
     "op5_minimax_shards": lambda spark, sf: sharding.shard_by_bytes(table(spark, sf, "documents")),
 }
 
