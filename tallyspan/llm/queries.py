@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import pieces, rules, sharding, toxicity, warc
+from tallyspan.llm import decontaminate, pieces, rules, sharding, toxicity, warc
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": lambda spark, sf: pieces.encoded_digests(table(spark, sf, "documents"), PIECE_MODEL),
     "op4_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op5_minimax_shards": lambda spark, sf: sharding.shard_by_bytes(table(spark, sf, "documents")),
+    "op6_decontamination": lambda spark, sf: decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
 }
 
 SQL: dict[str, str] = {
