@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, pieces, rules, sharding, toxicity, warc
+from tallyspan.llm import decontaminate, pieces, rules, sharding, token_counts, toxicity, warc
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
@@ -15,6 +15,7 @@ _BASE32 = """array_to_string(list_transform(range(8), lambda i: array_to_string(
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex_sha1, 5 * i + 1, 5))::INT >> s) & 31)::INT + 1, 1)), '')), '')"""
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archives": lambda spark, sf: warc.page_archives(table(spark, sf, "pages")),
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op5_minimax_shards": lambda spark, sf: sharding.shard_by_bytes(table(spark, sf, "documents")),
     "op6_decontamination": lambda spark, sf: decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op8_token_counts": lambda spark, sf: token_counts.counts_after_revision(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN),
 }
 
 SQL: dict[str, str] = {
