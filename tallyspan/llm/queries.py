@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, pieces, rules, sharding, token_counts, toxicity, warc
+from tallyspan.llm import decontaminate, pieces, rules, sentence_spans, sharding, token_counts, toxicity, warc
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
@@ -25,8 +25,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minimax_shards": lambda spark, sf: sharding.shard_by_bytes(table(spark, sf, "documents")),
     "op6_decontamination": lambda spark, sf: decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op8_token_counts": lambda spark, sf: token_counts.counts_after_revision(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN),
+    "op9_sentence_spans": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents")),
 }
 
+#: Sentence spans of {docs}: left_over has what stays of each row.
+SPANS = f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, * FROM {{docs}}),
+    p AS (SELECT rid, doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i
+          FROM (SELECT rid, doc_id, regexp_extract_all(text, '{sentence_spans.PATTERN}') AS parts FROM d)),
+    w AS (SELECT *, regexp_extract_all(part, '[^\\x20\\x09-\\x0D]+') AS words FROM p),
+    c AS (SELECT *, sum(len(words)) OVER (PARTITION BY rid ORDER BY i) AS upto FROM w),
+    e AS (SELECT a.rid, a.doc_id, a.i AS start, min(b.i) AS stop
+          FROM c a JOIN c b ON a.rid = b.rid AND b.i > a.i AND b.upto - a.upto + len(a.words) >= {sentence_spans.WORDS}
+          GROUP BY ALL),
+    s AS (SELECT e.rid, e.doc_id, e.start, e.stop, array_to_string(flatten(list(w.words ORDER BY w.i)), ' ') AS span
+          FROM e JOIN w ON w.rid = e.rid AND w.i BETWEEN e.start AND e.stop GROUP BY ALL),
+    f AS (SELECT *, first_value(ROW(doc_id, start)) OVER (PARTITION BY span ORDER BY doc_id NULLS FIRST, start) AS first FROM s),
+    gone AS (SELECT DISTINCT rid, unnest(range(start, stop + 1)) AS i FROM f WHERE ROW(doc_id, start) IS DISTINCT FROM first),
+    n AS (SELECT rid, count(*) AS n_sentences, count(gone.i) AS n_removed,
+                 string_agg(part, '' ORDER BY w.i) FILTER (gone.i IS NULL) AS stays
+          FROM w LEFT JOIN gone USING (rid, i) GROUP BY rid),
+    left_over AS (SELECT d.* EXCLUDE (text), coalesce(n_sentences, 0)::BIGINT AS n_sentences, coalesce(n_removed, 0)::BIGINT AS n_removed,
+                         CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(stays, '') END AS text
+                  FROM d LEFT JOIN n USING (rid))
+    """
+
 SQL: dict[str, str] = {
     "op1_warc_archives": f"""
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -55,4 +78,6 @@ SQL: dict[str, str] = {
                (failed & {rules.mask(rules.POLICIES["base"])}) <> 0 AS base_failed,
                (failed & {rules.mask(rules.POLICIES["v2"])}) = 0 AS kept
         FROM f""",
+    "op9_sentence_spans": SPANS.format(docs="documents")
+    + "SELECT doc_id, n_sentences, n_removed, text FROM left_over",
 }
