@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, pieces, rules, sentence_spans, sharding, token_counts, toxicity, warc
+from tallyspan.llm import decontaminate, ngram_join, pieces, rules, sentence_spans, sharding, token_counts, toxicity, warc
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
@@ -26,8 +26,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": lambda spark, sf: decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op8_token_counts": lambda spark, sf: token_counts.counts_after_revision(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN),
     "op9_sentence_spans": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents")),
+    "op10_ngram_join": lambda spark, sf: ngram_join.similar(table(spark, sf, "documents")),
 }
 
+#: Near copies among the rows of {docs}: every pair of different n-gram sets that share an n-gram, compared.
+GROUPS = f"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, * FROM {{docs}}),
+    w AS (SELECT rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM d),
+    sets AS (SELECT rid, doc_id, CASE WHEN len(words) = 0 THEN NULL WHEN len(words) < {ngram_join.N} THEN [array_to_string(words, ' ')]
+             ELSE list_sort(list_distinct(list_transform(range(1, len(words) - {ngram_join.N - 2}), lambda i: array_to_string(words[i:i + {ngram_join.N - 1}], ' ')))) END AS grams
+             FROM w),
+    classes AS (SELECT grams, min(rid) AS node, min(doc_id) AS c_doc, count(*) AS n_docs, len(any_value(grams)) AS n FROM sets WHERE grams IS NOT NULL GROUP BY grams),
+    g AS (SELECT node, n, unnest(grams) AS gram FROM classes),
+    links AS (SELECT a.node AS a, b.node AS b FROM g a JOIN g b ON a.gram = b.gram AND a.node <> b.node
+              GROUP BY a.node, b.node, a.n, b.n HAVING count(*) >= {ngram_join.THRESHOLD} * (a.n + b.n - count(*)) - 1e-9),
+    reach AS (SELECT node AS a, node AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    named AS (SELECT a AS node, min(c_doc) AS class_doc FROM reach JOIN classes ON reach.b = classes.node GROUP BY a),
+    counts AS (SELECT a AS node, sum(n_docs) AS linked, count(*) AS texts FROM links JOIN classes ON links.b = classes.node GROUP BY a),
+    grouped AS (SELECT d.*, CASE WHEN grams IS NULL THEN d.doc_id ELSE class_doc END AS class_id,
+                       coalesce(linked, 0)::BIGINT + coalesce(n_docs - 1, 0)::BIGINT AS n_links, coalesce(texts, 0)::BIGINT AS n_text_links
+                FROM d JOIN sets USING (rid) LEFT JOIN classes USING (grams) LEFT JOIN named USING (node) LEFT JOIN counts USING (node))
+    """
+
 #: Sentence spans of {docs}: left_over has what stays of each row.
 SPANS = f"""
     WITH d AS (SELECT row_number() OVER () AS rid, * FROM {{docs}}),
@@ -80,4 +100,5 @@ SQL: dict[str, str] = {
         FROM f""",
     "op9_sentence_spans": SPANS.format(docs="documents")
     + "SELECT doc_id, n_sentences, n_removed, text FROM left_over",
+    "op10_ngram_join": GROUPS.format(docs="documents") + "SELECT doc_id, class_id, n_links, n_text_links FROM grouped",
 }
