@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, ngram_join, pieces, rules, sentence_spans, sharding, token_counts, toxicity, warc
+from tallyspan.llm import decontaminate, main_text, ngram_join, pieces, rules, sentence_spans, sharding, token_counts, toxicity, warc
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op5_minimax_shards": lambda spark, sf: sharding.shard_by_bytes(table(spark, sf, "documents")),
     "op6_decontamination": lambda spark, sf: decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op7_main_text": lambda spark, sf: main_text.extracted(table(spark, sf, "pages")),
     "op8_token_counts": lambda spark, sf: token_counts.counts_after_revision(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN),
     "op9_sentence_spans": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents")),
     "op10_ngram_join": lambda spark, sf: ngram_join.similar(table(spark, sf, "documents")),
