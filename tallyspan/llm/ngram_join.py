@@ -309,3 +309,21 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t:
         F.coalesce(F.col("linked") + F.col("n_docs") - 1, F.col("n_docs") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of each group, with its columns; of repeated rows one.
+
+    Documents go by their ids, so texts move only where the ids to go are many.
+    An id that names different texts is judged as a whole: it stays if one of
+    its texts does.
+    """
+    found = written(similar(docs), "similar")
+    ids = written(
+        found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("stays")).where("n > 1 or not stays"), "judged"
+    )
+    special = ids.select(F.col("doc_id").alias("s_id"))
+    repeated = ids.where("n > 1 and stays").select(F.col("doc_id").alias("r_id"))
+    plain = docs.join(special, F.col("doc_id").eqNullSafe(F.col("s_id")), "left_anti")
+    again = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("r_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return plain.unionByName(again)

@@ -90,14 +90,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id, n_sentences, n_removed, text (what is left) for every row, and all other columns of `docs` under ``row``."""
+    """row (all other columns of `docs`), doc_id, n_sentences, n_removed, text (what is left) for every row."""
     gone = (
         repeats(docs, id_col, text_col, words)
         .groupBy(F.col("doc_id").alias("gone_id"))
         .agg(F.collect_list(F.struct("place", "span")).alias("gone"))  # at most a document's own sentences
     )
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    others = [F.col(c) for c in docs.columns if c != text_col] or [F.lit(None).cast("string").alias("none")]
+    rows = docs.select(F.struct(*others).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
+    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "doc_id", "body", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
@@ -120,10 +121,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 ["row", "doc_id", "n_sentences", "n_removed", "text"],
             )
 
-    others = [f for f in docs.schema.fields if f.name != text_col]
-    met = met.withColumn("row", F.struct(*[F.col("row").getField(f.name) .alias(f.name) for f in others]) if others else F.struct(F.lit(None).cast("string").alias("none")))
     schema = met.select("row").schema.add("doc_id", "long").add("n_sentences", "long").add("n_removed", "long").add("text", "string")
-    return met.select("row", "doc_id", "body", "gone").mapInArrow(run, schema)
+    return met.mapInArrow(run, schema)
+
+
+def rewritten(docs: DataFrame) -> DataFrame:
+    """Every document with what is left of its text, and its other columns; ``n_chars``, where there is one, is counted anew."""
+    left = without_repeats(docs)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def deduped(docs: DataFrame) -> DataFrame:

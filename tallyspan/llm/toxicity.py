@@ -157,21 +157,28 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Machine
     return fit([set(t) for _, _, t in found], np.array([y for _, y, _ in found], dtype=float))
 
 
-def scored(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score for every row's whole text."""
+def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
+    """row (all columns of `docs`) and score, for every row's whole text."""
     table = dict(zip(machine.at.tolist(), range(len(machine.at)), strict=True))
     known = Machine(machine.bias, np.arange(len(machine.at)), machine.weight, machine.vector)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [[table[h] for h in hashed(t.as_py()) & table.keys()] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(known.scores(found))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(known.scores(found))], ["row", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("body"))
+    return rows.mapInArrow(run, rows.select("row").schema.add("score", "double"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    return scored(docs, learned(docs, labels)).select(
+    rows = scored(docs.select("doc_id", "text"), learned(docs, labels)).select(F.col("row.doc_id").alias("doc_id"), "score")
+    return rows.select(
         "doc_id", not_learned_from().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that the machine does not reject, with their columns."""
+    return scored(docs, learned(docs, labels)).where("score < 0.5").select("row.*")
