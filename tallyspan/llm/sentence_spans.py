@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import slices, utf8
+from tallyspan.llm.common import slices, utf8, written
 
 MARKS = ".!?,;:\n"
 WORDS = 16
@@ -79,11 +79,12 @@ def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """span, doc_id, place of every occurrence but the first."""
     table = span_table(docs, id_col, text_col, words)
-    firsts = (
+    firsts = written(
         table.groupBy(F.col("span").alias("f_span"))
         .agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("f_span", "first")
+        .select("f_span", "first"),
+        "first-spans",  # written, so that the join stands alone in its stage and a hot span can be split
     )
     here = F.struct("doc_id", "place")
     return table.join(firsts, F.col("span") == F.col("f_span")).where(~here.eqNullSafe(F.col("first"))).select("span", "doc_id", "place")
