@@ -4,7 +4,7 @@ Groups are equal texts; their order is that of the text's SHA-256. The capacity
 is found by binary search: a capacity is feasible when filling shards greedily,
 group after group, needs no more than the given number. The greedy check only
 asks "which is the last group end up to x", so the driver holds group ends only
-around the answers: first the ends of 65,536 hash ranges, then finer ends where
+around the answers: first the ends of 16,384 hash ranges, then finer ends where
 a check could still fall either way, until both readings agree. What it holds
 is bounded by a parameter, however many groups there are.
 
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from tallyspan.llm.common import written
 
 ROW_BYTES = 16
-HASH_RANGES = 1 << 16
+HASH_RANGES = 1 << 14
 #: Rows of one text are counted and numbered in so many parts, so that no task holds a hot text.
-SALTS = 4096
+SALTS = 1024
 
 
 @dataclass
@@ -66,19 +66,21 @@ class Ends:
         return lo
 
     def unsettled(self, lo: int, hi: int, shards: int) -> list[tuple[int, int]]:
-        """Gaps between known ends, merged where they touch, that decide between the capacities lo and hi."""
-        found, a, b = set(), 0, 0
+        """Stretches between known ends that decide between the capacities lo and hi, at most one for each shard."""
+        found, a, b = [], 0, 0
         for _ in range(shards):
             first = bisect.bisect_right(self.at, a + lo) - 1
-            last = bisect.bisect_right(self.at, b + hi) - 1
-            found.update(i for i in range(first, min(last + 1, len(self.at) - 1)) if self.rank[i + 1] - self.rank[i] > 1)
+            last = min(bisect.bisect_right(self.at, b + hi), len(self.at) - 1)
+            open_ = [i for i in range(first, last) if self.rank[i + 1] - self.rank[i] > 1]
+            if open_:
+                found.append((self.at[open_[0]], self.at[open_[-1] + 1]))
             a, b = self.last(a + lo)[0], self.last(b + hi)[1]
         merged: list[tuple[int, int]] = []
-        for i in sorted(found):
-            if merged and merged[-1][1] == self.at[i]:
-                merged[-1] = (merged[-1][0], self.at[i + 1])
+        for start, stop in sorted(found):
+            if merged and start <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(stop, merged[-1][1]))
             else:
-                merged.append((self.at[i], self.at[i + 1]))
+                merged.append((start, stop))
         return merged
 
     def add(self, ends: list[tuple[int, int]]) -> None:
@@ -87,7 +89,7 @@ class Ends:
         self.rank = [both[x] for x in self.at]
 
 
-def minimax_cuts(groups: DataFrame, ends: Ends, largest: int, shards: int, held: int = 1 << 16) -> tuple[int, list[int]]:
+def minimax_cuts(groups: DataFrame, ends: Ends, largest: int, shards: int, held: int = 1 << 14) -> tuple[int, list[int]]:
     """The smallest feasible capacity and its greedy cuts.
 
     groups: one row per group with ``group_end`` (bytes up to and with it) and
@@ -125,7 +127,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
     parts = (
         rows.groupBy("sha", "salt")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
-        .withColumn("range", F.conv(F.substring(F.hex("sha"), 1, 4), 16, 10).cast("int"))
+        .withColumn("range", F.expr(f"conv(substring(hex(sha), 1, 4), 16, 10) div {(1 << 16) // HASH_RANGES}").cast("int"))
     )
     parts = written(parts, "shard-parts")
     sums = parts.groupBy("range").agg(F.sum("n"), F.sum("bytes"), F.count_distinct("sha")).orderBy("range").collect()  # at most HASH_RANGES
