@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from tallyspan.llm.common import slices, utf8
+from tallyspan.llm.common import in_batches, slices, utf8
 
 SPACE = "▁"
 NORMAL, USER_DEFINED, BYTE, UNUSED = 1, 4, 6, 5
@@ -39,6 +39,9 @@ NORMAL, USER_DEFINED, BYTE, UNUSED = 1, 4, 6, 5
 REMEMBERED = 600_000
 #: Longer chunks are not remembered.
 LONG = 64
+#: Up to this length a scan of the agenda beats a heap.
+SHORT = 40
+NONE = float("-inf")
 
 
 class Vocabulary:
@@ -88,7 +91,23 @@ class Vocabulary:
     # --- agenda ---
 
     def merge(self, chunk: str) -> list[str]:
-        """The pieces of one chunk."""
+        """The pieces of one chunk. Short ones have their agenda as a list in place order, long ones as a heap."""
+        if len(chunk) > SHORT:
+            return self.merge_long(chunk)
+        score, none = self.scores.get, NONE
+        symbols = list(chunk)
+        agenda = [score(a + b, none) for a, b in itertools.pairwise(symbols)]
+        while agenda and (best := max(agenda)) != none:
+            i = agenda.index(best)  # the leftmost
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(symbols[i] + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + symbols[i], none)
+        return symbols
+
+    def merge_long(self, chunk: str) -> list[str]:
         scores = self.scores
         symbols: list[str | None] = list(chunk)
         n = len(symbols)
@@ -255,7 +274,7 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
                 raise ValueError("the agenda and the library differ on a text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")), run, "doc_id long, ids array<int>, decoded string")
 
 
 def encoded_digests(docs: DataFrame, model: str) -> DataFrame:
