@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,16 @@ from tallyspan.session import new_shared_path
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: object) -> DataFrame:
+    """``mapInArrow`` with batches of about 4 MB, as texts and pages are long; a session's own setting stays."""
+    if df.sparkSession.conf.get(BATCH_BYTES, "1") == "1":  # not set
+        df.sparkSession.conf.set(BATCH_BYTES, "4m")
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,7 +37,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Smaller pieces of the incoming batches, so that a task holds few rows at once beside its input."""
+    """Pieces of at most `rows` rows of the incoming batches."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
@@ -44,3 +54,16 @@ def not_learned_from(doc_id: str = "doc_id") -> F.Column:
 
 def bucket(term: bytes, buckets: int) -> int:
     return zlib.crc32(term) % buckets
+
+
+def sampled(rows: DataFrame, n: int, *by: str) -> DataFrame:
+    """n rows, the first by a hash of `by`; fewer only where `by` repeats heavily.
+
+    A bound on the hash that about 4 n rows pass goes first, so that tasks sort
+    and send few rows however many there are.
+    """
+    share = min(1.0, 4 * n / max(1, rows.count()))
+    at = F.xxhash64(*by)
+    if share < 1:
+        rows = rows.where(at < F.lit(int(share * (1 << 64)) - (1 << 63)))
+    return rows.orderBy(at, *by).limit(n)

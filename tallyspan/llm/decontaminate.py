@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import slices
+from tallyspan.llm.common import in_batches, slices
 
 SHARE = 0.06
 LEAST = 40
@@ -151,7 +151,7 @@ def contaminated(
                 out = [(d.as_py(), *m) for d, t in zip(batch.column(0), batch.column(1), strict=True) for m in matcher.matches(words_of(t.as_py()))]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], ["doc_id", "item_id", "distance", "end"])
 
-        return rows.mapInArrow(run, schema)
+        return in_batches(rows, run, schema)
 
     found = []
     for b in range(blocks):  # a block's letters are bounded, so is what the driver and a task hold

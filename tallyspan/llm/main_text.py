@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.boosting import Boosted, boost
-from tallyspan.llm.common import slices
+from tallyspan.llm.common import in_batches, sampled, slices
 from tallyspan.llm.dom import HIDDEN, Page, parse
 
 TAGS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "ul", "li", "p", "div", "h1", "h2", "table", "blockquote", "pre", "figure", "body"]
@@ -312,14 +312,8 @@ def teach(sources: list[str], copies: int = 3, names: int = 192, seed: int = 11)
 
 
 def learned(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 240, page_chars: int = 20_000) -> Extractor:
-    source = F.col(html_col)
-    rows = (
-        pages.select(F.xxhash64(F.col(id_col), F.length(source)).alias("at"), source.alias("source"))
-        .where((F.length("source") > 0) & (F.length("source") <= page_chars))
-        .orderBy("at", F.crc32(F.col("source").cast("binary")))
-        .limit(sample)
-        .collect()
-    )
+    sized = pages.select(F.col(id_col).alias("i"), F.length(html_col).alias("size"), F.col(html_col).alias("source")).where(F.col("size").between(1, page_chars))
+    rows = sampled(sized, sample, "i", "size").select("source").collect()
     return teach([r.source for r in rows])
 
 
@@ -335,4 +329,4 @@ def extracted(pages: DataFrame, extractor: Extractor | None = None, id_col: str
             )
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("source"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return in_batches(rows, run, "page_id long, url string, text string, n_chars long")

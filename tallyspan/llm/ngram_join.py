@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import slices, utf8, written
+from tallyspan.llm.common import in_batches, slices, utf8, written
 from tallyspan.llm.components import components
 
 N = 5
@@ -192,7 +192,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([batch.column(0), held, lists], ["doc_id", "set_key", "bands"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    return rows.mapInArrow(run, "doc_id long, set_key long, bands array<long>")
+    return in_batches(rows, run, "doc_id long, set_key long, bands array<long>")
 
 
 def _memberships(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Data
             columns = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.binary()], strict=True)], ["node", "n_docs", "grams"])
 
-    return met.mapInArrow(run, "node long, n_docs long, grams binary").dropDuplicates(["node"])
+    return in_batches(met, run, "node long, n_docs long, grams binary").dropDuplicates(["node"])
 
 
 def _settle(cells: DataFrame, t: float) -> DataFrame:
@@ -272,7 +272,7 @@ def _settle(cells: DataFrame, t: float) -> DataFrame:
         out += [(held[x][1], 0, 0, held[y][1]) for x, y in _groups(pairs)]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["node", "n_links", "n_text_links", "other"])
 
-    return cells.mapInArrow(run, "node long, n_links long, n_text_links long, other long")
+    return in_batches(cells, run, "node long, n_links long, n_text_links long, other long")
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t: float = THRESHOLD) -> DataFrame:

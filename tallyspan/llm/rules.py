@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import BLANKS, slices, utf8
+from tallyspan.llm.common import BLANKS, in_batches, slices, utf8
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -124,7 +124,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             found = np.array([measure(t.as_py()) for t in batch.column(1)], dtype=np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.T.copy())], names)
 
-    measured = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).mapInArrow(run, schema)
+    measured = in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")), run, schema)
     bits = [F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(RULES)]
     return measured.withColumn("failed", reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long"))
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import slices, utf8, written
+from tallyspan.llm.common import in_batches, slices, utf8, written
 
 MARKS = ".!?,;:\n"
 WORDS = 16
@@ -73,7 +73,7 @@ def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.int32())], ["span", "doc_id", "place"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    return rows.mapInArrow(run, "span long, doc_id long, place int")
+    return in_batches(rows, run, "span long, doc_id long, place int")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -123,7 +123,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             )
 
     schema = met.select("row").schema.add("doc_id", "long").add("n_sentences", "long").add("n_removed", "long").add("text", "string")
-    return met.mapInArrow(run, schema)
+    return in_batches(met, run, schema)
 
 
 def rewritten(docs: DataFrame) -> DataFrame:

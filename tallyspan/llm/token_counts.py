@@ -35,7 +35,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import slices
+from tallyspan.llm.common import in_batches, slices
 
 LOOKAHEAD = 3
 REMEMBERED = 500_000
@@ -215,7 +215,7 @@ def build(docs: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id"
                 [batch.column(0), pa.array(texts, pa.string()), *(pa.array(c, pa.binary()) for c in zip(*trees, strict=True))], ["doc_id", "body", "chars", "tokens"]
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")).mapInArrow(run, TREE)
+    return in_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body")), run, TREE)
 
 
 def apply_edits(trees: DataFrame, ranks_file: str, pattern: str, edits: str = "edits", keep_trees: bool = True) -> DataFrame:
@@ -242,7 +242,7 @@ def apply_edits(trees: DataFrame, ranks_file: str, pattern: str, edits: str = "e
             types = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=False)], names)
 
-    return trees.select("doc_id", "body", "chars", "tokens", F.col(edits).cast(EDITS)).mapInArrow(run, schema)
+    return in_batches(trees.select("doc_id", "body", "chars", "tokens", F.col(edits).cast(EDITS)), run, schema)
 
 
 def revision(text: str = "body", at: str = "doc_id") -> F.Column:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import not_learned_from, slices, utf8
+from tallyspan.llm.common import in_batches, not_learned_from, sampled, slices, utf8
 
 STEM = 5
 #: ASCII other than letters and digits separates terms.
@@ -138,13 +138,8 @@ def _sums(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
 
 def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Machine:
     """The machine fitted on `sample` labelled rows; the held-out fifth is never among them."""
-    picked = (
-        labels.where(~not_learned_from() & F.col("toxic").isNotNull())
-        .groupBy(F.col("doc_id").alias("l_id"))
-        .agg(F.max("toxic").alias("label"))
-        .orderBy(F.xxhash64("l_id"), "l_id")
-        .limit(sample)
-    )
+    usable = labels.where(~not_learned_from() & F.col("toxic").isNotNull())
+    picked = sampled(usable.groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").alias("label")), sample, "l_id")
     rows = docs.select("doc_id", F.col("text").alias("body")).join(F.broadcast(picked), F.col("doc_id") == F.col("l_id"))  # `sample` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +147,7 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Machine
             found = [list(hashed(t.as_py())) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "label", "terms"])
 
-    got = rows.select("doc_id", F.col("label").cast("int"), "body").mapInArrow(run, "doc_id long, label int, terms array<bigint>").toArrow()
+    got = in_batches(rows.select("doc_id", F.col("label").cast("int"), "body"), run, "doc_id long, label int, terms array<bigint>").toArrow()
     found = sorted(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["terms"].to_pylist(), strict=True))
     return fit([set(t) for _, _, t in found], np.array([y for _, y, _ in found], dtype=float))
 
@@ -168,7 +163,7 @@ def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(known.scores(found))], ["row", "score"])
 
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("body"))
-    return rows.mapInArrow(run, rows.select("row").schema.add("score", "double"))
+    return in_batches(rows, run, rows.select("row").schema.add("score", "double"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import written
+from tallyspan.llm.common import in_batches, sampled, written
 from tallyspan.session import new_shared_path
 
 # Fixed values of the formats: frame magics (little endian) and names.
@@ -185,11 +185,8 @@ def train_dictionary(rows: DataFrame, payload: str, id_col: str, samples: int =
 
     Only the size of the archives depends on it. Empty where there is too little to learn from.
     """
-    sample = (
-        rows.select(F.substring(payload, 1, sample_bytes).alias("part"), F.xxhash64(id_col).alias("at"))
-        .orderBy("at", F.crc32("part"))
-        .limit(samples)
-    )
+    sized = rows.select(F.col(id_col).alias("i"), F.octet_length(payload).alias("size"), F.substring(payload, 1, sample_bytes).alias("part"))
+    sample = sampled(sized, samples, "i", "size").select("part")
     parts = [bytes(r.part) for r in sample.collect() if r.part]
     try:
         return zstandard.train_dictionary(size, parts).as_bytes() if len(parts) >= 16 else b""
@@ -257,7 +254,7 @@ def write_archives(
                         break
             yield pa.RecordBatch.from_pydict({"path": [f"{out}/{name}"], "n_records": [n], "n_bytes": [size]})
 
-    return written(rows.mapInArrow(write, "path string, n_records long, n_bytes long"), "warc-manifest")
+    return written(in_batches(rows, write, "path string, n_records long, n_bytes long"), "warc-manifest")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -299,7 +296,7 @@ def read_archives(paths: DataFrame, path_col: str = "path", strict: bool = True,
 
     if tasks is None:
         tasks = max(1, paths.count())
-    return paths.select(F.col(path_col).alias("path")).repartition(tasks).mapInArrow(read, RECORD_SCHEMA)
+    return in_batches(paths.select(F.col(path_col).alias("path")).repartition(tasks), read, RECORD_SCHEMA)
 
 
 def _records(path: str, strict: bool) -> Iterator[tuple]:
