@@ -38,7 +38,7 @@ _SEPARATE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def hashed(text: str | None) -> set[int]:
-    """The hashed distinct terms: words, and the stems (first STEM bytes) of longer words."""
+    """The hashes of the distinct terms: words, and the stems (first STEM bytes) of longer words."""
     words = set(utf8((text or "").lower()).translate(_SEPARATE).split())
     words.update([w[:STEM] for w in words if len(w) > STEM])
     return set(map(zlib.crc32, words))
@@ -53,7 +53,7 @@ class Machine:
     weight: np.ndarray
     vector: np.ndarray
 
-    def scores(self, docs: list[set[int]]) -> np.ndarray:
+    def scores(self, docs: list) -> np.ndarray:
         rows, cols = self.known(docs)
         z = np.full(len(docs), self.bias)
         z += np.bincount(rows, self.weight[cols], len(docs))
@@ -62,20 +62,20 @@ class Machine:
             z += (np.bincount(rows, v, len(docs)) ** 2 - np.bincount(rows, v * v, len(docs))) / 2
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def known(self, docs: list[set[int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Document number and term number of every known term."""
+    def known(self, docs: list) -> tuple[np.ndarray, np.ndarray]:
+        """Document number and term number of every known term. docs: the hashed terms of each."""
         lengths = np.fromiter(map(len, docs), np.int64, len(docs))
-        flat = np.fromiter((t for d in docs for t in d), np.int64, int(lengths.sum()))
-        rows = np.repeat(np.arange(len(docs)), lengths)
+        flat = np.concatenate([np.asarray(d, np.uint32) for d in docs]) if len(docs) else np.zeros(0, np.uint32)
+        rows = np.repeat(np.arange(len(docs), dtype=np.int32), lengths)
         if not len(self.at):
-            return rows[:0], flat[:0]
-        cols = np.minimum(np.searchsorted(self.at, flat), len(self.at) - 1)
+            return rows[:0], rows[:0]
+        cols = np.minimum(np.searchsorted(self.at, flat), len(self.at) - 1).astype(np.int32)
         hit = self.at[cols] == flat
         return rows[hit], cols[hit]
 
 
 def fit(
-    docs: list[set[int]], labels: np.ndarray, *, factors: int = 4, features: int = 1 << 15, least_docs: int = 4, least_tie: float = 3.0, epochs: int = 10, batch: int = 128,
+    docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 4, features: int = 1 << 15, least_docs: int = 4, least_tie: float = 3.0, epochs: int = 10, batch: int = 128,
     rate: float = 0.25, pair_rate: float = 0.05, sparse: float = 2e-4, shrink: float = 1e-3, seed: int = 7,
 ) -> Machine:
     """Mini-batch AdaGrad on the logistic loss; weights are pulled to exactly 0 (`sparse`), vectors shrunk.
@@ -85,19 +85,19 @@ def fit(
     `least_docs` sets, or as often toxic as any other to within `least_tie`
     standard deviations, are left out.
     """
-    sets: dict[tuple[int, ...], list[float]] = {}
-    for d, y in zip(docs, labels, strict=True):
-        sets.setdefault(tuple(sorted(d)), []).append(float(y))
-    docs = list(sets)
+    sets: dict[bytes, list[float]] = {}
+    for d, label in zip(docs, labels, strict=True):
+        sets.setdefault(np.sort(d).tobytes(), []).append(float(label))
+    docs = [np.frombuffer(d, np.uint32) for d in sets]
     y = np.array([sum(v) / len(v) for v in sets.values()])
     prior = y.sum() / (len(y) + 1)
-    empty = np.zeros(0, np.int64)
     if not len(y) or y.max() < 0.5 or y.min() > 0.5:
-        return Machine(float(np.log(max(prior, 1e-9) / (1 - prior))), empty, np.zeros(0), np.zeros((0, factors)))
-    flat = np.fromiter((t for d in docs for t in d), np.int64)
-    seen, n = np.unique(flat, return_counts=True)
+        return Machine(float(np.log(max(prior, 1e-9) / (1 - prior))), np.zeros(0, np.uint32), np.zeros(0), np.zeros((0, factors)))
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
+    flat = np.concatenate(docs)
+    seen, n = np.unique(flat, return_counts=True)
     toxic = np.bincount(np.searchsorted(seen, flat), np.repeat(y, lengths), len(seen))
+    del flat
     tied = np.abs(toxic - n * prior) / np.sqrt(n * prior * (1 - prior))
     often = np.flatnonzero((n >= least_docs) & (tied >= least_tie))
     often = np.sort(often[np.argsort(-tied[often], kind="stable")[:features]])
@@ -136,7 +136,7 @@ def _sums(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
     return np.stack([np.bincount(group, rows[:, f], groups) for f in range(rows.shape[1])], axis=1)
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Machine:
+def learned(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> Machine:
     """The machine fitted on `sample` labelled rows; the held-out fifth is never among them."""
     usable = labels.where(~not_learned_from() & F.col("toxic").isNotNull())
     picked = sampled(usable.groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").alias("label")), sample, "l_id")
@@ -144,18 +144,19 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Machine
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [list(hashed(t.as_py())) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "label", "terms"])
+            found = [np.fromiter(hashed(t.as_py()), np.uint32).tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["doc_id", "label", "terms"])
 
-    got = in_batches(rows.select("doc_id", F.col("label").cast("int"), "body"), run, "doc_id long, label int, terms array<bigint>").toArrow()
-    found = sorted(zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), got["terms"].to_pylist(), strict=True))
-    return fit([set(t) for _, _, t in found], np.array([y for _, y, _ in found], dtype=float))
+    got = in_batches(rows.select("doc_id", F.col("label").cast("int"), "body"), run, "doc_id long, label int, terms binary").toArrow()
+    order = np.lexsort([got["label"].to_numpy(), got["doc_id"].to_numpy()])  # as tasks may finish in any order
+    found = [np.frombuffer(t.as_buffer() or b"", np.uint32) for t in got["terms"]]
+    return fit([found[i] for i in order], got["label"].to_numpy()[order].astype(float))
 
 
 def scored(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
     """row (all columns of `docs`) and score, for every row's whole text."""
     table = dict(zip(machine.at.tolist(), range(len(machine.at)), strict=True))
-    known = Machine(machine.bias, np.arange(len(machine.at)), machine.weight, machine.vector)
+    known = Machine(machine.bias, np.arange(len(machine.at), dtype=np.uint32), machine.weight, machine.vector)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
