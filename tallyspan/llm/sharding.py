@@ -110,8 +110,9 @@ def minimax_cuts(groups: DataFrame, ends: Ends, largest: int, shards: int, held:
             width = -(-(b - a) // bins)
             near = near | inside
             at = F.when(inside, i * bins + F.expr(f"(group_end - {a} - 1) div {width}")).otherwise(at)
-        found = groups.where(near).groupBy(at.alias("bin")).agg(F.max("group_end").alias("e"), F.max("group_rank").alias("r"))
-        ends.add([(r.e, r.r) for r in found.toLocalIterator()])
+        found = groups.where(near).groupBy(at.alias("bin")).agg(F.min(F.struct("group_end", "group_rank")), F.max(F.struct("group_end", "group_rank")))
+        # both ends of a bin, so that every round settles something, however the ends crowd
+        ends.add([tuple(end) for row in found.collect() for end in row[1:]])  # at most 2 * held
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
