@@ -241,7 +241,7 @@ def write_archives(
         records = (row for batch in batches for row in _rows(batch))
         while (first := next(records, None)) is not None:
             name, n, size = f"{uuid.uuid4().hex}.warc.zst", 0, 0
-            with where.open_output_stream(f"{folder}/{name}") as file:
+            with where.open_output_stream(f"{folder}/{name}", compression=None) as file:
                 if dictionary:
                     size += file.write(dictionary_frame(dictionary))
                 for rec_id, uri, n_bytes, sha1, payload, refers_to, is_first in itertools.chain([first], records):
@@ -302,7 +302,7 @@ def read_archives(paths: DataFrame, path_col: str = "path", strict: bool = True,
 def _records(path: str, strict: bool) -> Iterator[tuple]:
     where, name = fs.FileSystem.from_uri(path)
     try:
-        with where.open_input_stream(name) as file:
+        with where.open_input_stream(name, compression=None) as file:
             for data in frames(file.read):
                 try:
                     yield *parse_record(data), None
