@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tallyspan import fixed_values as fv
 
 YEARS = list(range(fv.FIRST_YEAR, fv.LAST_YEAR + 1))
@@ -427,3 +429,15 @@ SQL: dict[str, str] = {
         CAST(date_diff('day', CAST(max(ts) AS DATE), DATE '2024-01-31') AS INTEGER) AS age_days,
         date_diff('day', CAST(max(ts) AS DATE), DATE '2024-01-31') <= 2 AS fresh FROM events GROUP BY 1""",
 }
+
+_SCOPED = re.compile(r"CAST\([\w.]+ AS VARCHAR\) LIKE '1714%'")
+#: These run over every geography; only the published models and checks keep their cut.
+for _name in (
+    "coverage_gaps mart_region_overview_true_rates export_status export_roundtrip optional_table geo_options latest_cards trend_series "
+    "district_ranking urban_rural_series men_women_series gap_warnings coverage_listing births_check"
+).split():
+    SQL[_name] = _SCOPED.sub("true", SQL[_name])
+for _name in (
+    "mart_region_overview_yearly mart_population_split_yearly mart_births_by_sex_yearly mart_metric_coverage reconciliation_report"
+).split():
+    SQL[f"{_name}_all"] = _SCOPED.sub("true", SQL[_name])

@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     build.add_argument("--raw", required=True)
     build.add_argument("--out", required=True)
     build.add_argument("--prefix", default=fv.DEFAULT_GEO_PREFIX)
+    build.add_argument("--all-regions", action="store_true", help="marts over every geography")
     build.add_argument("--ids", type=int, nargs="*", default=fv.STAGED_DATASETS)
     test = commands.add_parser("test", help="declared data tests")
     test.add_argument("--out", required=True)
@@ -32,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("tallyspan").getOrCreate()
     if args.command == "build":
-        jobs.build_warehouse(spark, registry(args.raw, args.ids), args.out, args.prefix)
+        jobs.build_warehouse(spark, registry(args.raw, args.ids), args.out, None if args.all_regions else args.prefix)
     elif args.command == "test":
         jobs.test_warehouse(jobs.load_warehouse(spark, args.out)).orderBy("passed", "table_name").show(100, False)
     elif args.command == "export":

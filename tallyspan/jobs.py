@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyspan import fixed_values as fv
 from tallyspan.operators.quality import run_rules
 from tallyspan.plans import checks, ingest
 from tallyspan.plans import warehouse as wh
@@ -16,13 +17,14 @@ STORED = ["dim_geo", *wh.MARTS]
 
 
 def build_warehouse(
-    spark: SparkSession, sources: Mapping[int, str], root: str, prefix: str | None = None
+    spark: SparkSession, sources: Mapping[int, str], root: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX
 ) -> dict[str, DataFrame]:
     """Raw extracts to stored tables under ``root``; returns every model by name.
 
     The atomic table, the geography dimension and the marts are written, and
     under ``rejected_cells`` any cells that are not numbers. Facts are row
-    slices of the atomic table and stay views over it. The overview mart reads
+    slices of the atomic table and stay views over it. ``prefix`` scopes the marts,
+    ``None`` keeps every geography. The overview mart reads
     the stored dimension instead of deriving it again.
     """
     root = root.rstrip("/")

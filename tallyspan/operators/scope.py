@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from tallyspan.fixed_values import DEFAULT_GEO_PREFIX
 
 
-def clean_prefix(prefix: str | None, default: str = DEFAULT_GEO_PREFIX) -> str:
+def clean_prefix(prefix: str, default: str = DEFAULT_GEO_PREFIX) -> str:
     """User input to a usable prefix: trimmed, blank falls back to the default."""
-    return (prefix or "").strip() or default
+    return prefix.strip() or default
 
 
 def in_prefix(df: DataFrame, prefix: str | None, code: str = "geo_code") -> DataFrame:
-    """Rows whose code starts with the prefix, read as text.
+    """Rows whose code starts with the prefix, read as text; all rows for ``None``.
 
-    The prefix is a literal, so ``%`` and ``_`` are ordinary characters.
+    The prefix is a literal, so ``%`` and ``_`` are ordinary characters. Blank
+    text, as user input may be, falls back to the default.
     """
+    if prefix is None:
+        return df
     return df.where(F.col(code).cast("string").startswith(clean_prefix(prefix)))
 
 
@@ -29,6 +32,8 @@ def in_region(df: DataFrame, prefix: str | None, code: str = "geo_code", region:
     ``region`` holds the first four characters of the code; comparing it lets
     the reader skip row groups that a cast on the numeric code cannot.
     """
+    if prefix is None:
+        return df
     prefix = clean_prefix(prefix)
     scoped = in_prefix(df, prefix, code)
     if region not in df.columns:

@@ -50,7 +50,7 @@ PUBLISHED_CHECKS = {
 
 
 def reconciliation_check(
-    atomic: DataFrame, name: str, prefix: str | None = None, checks: Mapping[str, Check] = CHECKS
+    atomic: DataFrame, name: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX, checks: Mapping[str, Check] = CHECKS
 ) -> DataFrame:
     """One check with its own measure names."""
     out = check_table(scope.in_region(atomic, prefix), checks[name], KEYS)
@@ -59,7 +59,7 @@ def reconciliation_check(
     return out
 
 
-def reconciliation_report(atomic: DataFrame, prefix: str | None = None, tolerance: float = 1e-6) -> DataFrame:
+def reconciliation_report(atomic: DataFrame, prefix: str | None = fv.DEFAULT_GEO_PREFIX, tolerance: float = 1e-6) -> DataFrame:
     """All checks in one pass."""
     return reconcile(scope.in_region(atomic, prefix), list(CHECKS.values()), KEYS, tolerance=tolerance)
 

@@ -34,19 +34,19 @@ def _geo(spark: SparkSession, sf: str) -> DataFrame:
     return wh.dim_geo(star.atomic(spark, sf), seeds.geo_override(spark))
 
 
-def _overview(spark: SparkSession, sf: str, prefix: str | None = None, population_unit: float = 1.0) -> DataFrame:
+def _overview(spark: SparkSession, sf: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX, population_unit: float = 1.0) -> DataFrame:
     # The dimension needs every dataset, so both read the same rows and share their exchange.
     atomic = star.atomic(spark, sf)
     geo = wh.dim_geo(atomic, seeds.geo_override(spark))
     return wh.mart_region_overview_yearly(atomic, geo, prefix, population_unit)
 
 
-def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return wh.mart_population_split_yearly(star.atomic(spark, sf, fv.POPULATION_MEASURES))
+def _split(spark: SparkSession, sf: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX) -> DataFrame:
+    return wh.mart_population_split_yearly(star.atomic(spark, sf, fv.POPULATION_MEASURES), prefix)
 
 
-def _births(spark: SparkSession, sf: str) -> DataFrame:
-    return wh.mart_births_by_sex_yearly(star.atomic(spark, sf, fv.BIRTH_MEASURES.values()))
+def _births(spark: SparkSession, sf: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX) -> DataFrame:
+    return wh.mart_births_by_sex_yearly(star.atomic(spark, sf, fv.BIRTH_MEASURES.values()), prefix)
 
 
 def _stored_atomic(spark: SparkSession, sf: str) -> DataFrame:
@@ -185,7 +185,7 @@ def _extract_audit(spark: SparkSession, sf: str) -> DataFrame:
     path = new_shared_path(spark, "audit")
     fa.write_audit(fa.audit(spark, expected, landed, filename=filename), path)
     return spark.read.schema(
-        "dataset_id string, metric_key string, status string, bytes bigint, digest_kind string, digest string, "
+        "dataset_id string, metric_key string, status string, bytes bigint, digest string, "
         "rows bigint, cols int, columns array<string>, profile_error string"
     ).json(path)
 
@@ -215,7 +215,9 @@ def audit_tally(spark, sf):
 
 
 def _exported(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
-    models = wh.build_models(spark, _stored_atomic(spark, sf))
+    atomic, geo = _stored_atomic(spark, sf), new_shared_path(spark, "dim_geo")
+    wh.dim_geo(atomic, seeds.geo_override(spark)).write.parquet(geo)
+    models = wh.build_models(spark, atomic, None, spark.read.parquet(geo))
     catalog.register_views({name: models[name] for name in wh.MARTS})
     out = new_shared_path(spark, "export")
     return export.export_tables(spark, [*wh.MARTS, "mart_not_built"], out), out
@@ -235,7 +237,7 @@ def export_roundtrip(spark, sf):
 
 @query
 def optional_table(spark, sf):
-    catalog.register_views({"mart_births_by_sex_yearly": _births(spark, sf)})
+    catalog.register_views({"mart_births_by_sex_yearly": _births(spark, sf, None)})
     spark.catalog.dropTempView("mart_not_built")
     present = {n: catalog.optional_table(spark, n) for n in ["mart_births_by_sex_yearly", "mart_not_built"]}
     return enrich.union_sources(
@@ -389,7 +391,7 @@ def mart_region_overview_yearly(spark, sf):
 
 @query
 def mart_region_overview_true_rates(spark, sf):
-    return _overview(spark, sf, population_unit=1000)
+    return _overview(spark, sf, None, population_unit=1000)
 
 
 @query
@@ -415,7 +417,7 @@ def mart_metric_coverage(spark, sf):
 @query
 def coverage_gaps(spark, sf):
     """Coverage over every catalogued metric and every year found, absent ones as 0."""
-    rows = scope.in_prefix(star.atomic(spark, sf), None)
+    rows = star.atomic(spark, sf)
     catalogued = [r["metric_key"] for r in fv.rows(fv.METRIC_DICTIONARY_CSV)]
     expected = rows.select("year").distinct().select("year", F.explode(F.lit(catalogued)).alias("metric_key"))
     return summarise.coverage_gaps(rows, ["metric_key", "year"], expected)
@@ -613,47 +615,47 @@ def overview_of_geo(spark, sf):
 
 @query
 def geo_options(spark, sf):
-    return reports.geo_options(_overview(spark, sf)).orderBy("geo_name", "geo_code")
+    return reports.geo_options(_overview(spark, sf, None)).orderBy("geo_name", "geo_code")
 
 
 @query
 def latest_cards(spark, sf):
-    return reports.latest_cards(_overview(spark, sf))
+    return reports.latest_cards(_overview(spark, sf, None))
 
 
 @query
 def trend_series(spark, sf):
-    return reports.trend_series(_overview(spark, sf))
+    return reports.trend_series(_overview(spark, sf, None))
 
 
 @query
 def district_ranking(spark, sf):
-    return reports.district_ranking(_overview(spark, sf))
+    return reports.district_ranking(_overview(spark, sf, None))
 
 
 @query
 def urban_rural_series(spark, sf):
-    return reports.segment_series(_split(spark, sf), ["population_urban", "population_rural"])
+    return reports.segment_series(_split(spark, sf, None), ["population_urban", "population_rural"])
 
 
 @query
 def men_women_series(spark, sf):
-    return reports.segment_series(_split(spark, sf), ["population_men", "population_women"])
+    return reports.segment_series(_split(spark, sf, None), ["population_men", "population_women"])
 
 
 @query
 def gap_warnings(spark, sf):
-    return reports.gap_warnings(_split(spark, sf))
+    return reports.gap_warnings(_split(spark, sf, None))
 
 
 @query
 def coverage_listing(spark, sf):
-    return reports.coverage_listing(wh.mart_metric_coverage(star.atomic(spark, sf)))
+    return reports.coverage_listing(wh.mart_metric_coverage(star.atomic(spark, sf), None))
 
 
 @query
 def births_check(spark, sf):
-    return reports.births_check(_births(spark, sf), 2011, 2015)
+    return reports.births_check(_births(spark, sf, None), 2011, 2015)
 
 
 # --- change and freshness ----------------------------------------------------
@@ -678,3 +680,31 @@ def source_freshness(spark, sf):
     events = star.read_table(spark, sf, "events")
     last = events.groupBy("user_id").agg(F.max("ts").alias("last_seen"))
     return fa.freshness(last, "last_seen", F.to_date(F.lit("2024-01-31")), 2).select("user_id", "age_days", "fresh")
+
+
+# --- marts and report over every geography ---------------------------------------
+
+
+@query
+def mart_region_overview_yearly_all(spark, sf):
+    return _overview(spark, sf, None)
+
+
+@query
+def mart_population_split_yearly_all(spark, sf):
+    return _split(spark, sf, None)
+
+
+@query
+def mart_births_by_sex_yearly_all(spark, sf):
+    return _births(spark, sf, None)
+
+
+@query
+def mart_metric_coverage_all(spark, sf):
+    return wh.mart_metric_coverage(star.atomic(spark, sf), None)
+
+
+@query
+def reconciliation_report_all(spark, sf):
+    return checks.reconciliation_report(star.atomic(spark, sf), None)

@@ -134,7 +134,7 @@ def fact_demography_flows_yearly(atomic: DataFrame, groups: Sequence[str] = fv.F
 def mart_region_overview_yearly(
     atomic: DataFrame,
     geo: DataFrame,
-    prefix: str | None = None,
+    prefix: str | None = fv.DEFAULT_GEO_PREFIX,
     population_unit: float = 1.0,
 ) -> DataFrame:
     """Headline measures and rates per geography and year.
@@ -159,7 +159,7 @@ def mart_region_overview_yearly(
     )
 
 
-def mart_population_split_yearly(atomic: DataFrame, prefix: str | None = None) -> DataFrame:
+def mart_population_split_yearly(atomic: DataFrame, prefix: str | None = fv.DEFAULT_GEO_PREFIX) -> DataFrame:
     """Population by sex and by settlement, with differences and a gap flag."""
     rows = scope.slice_on(scope.in_region(atomic, prefix), metric_group=fv.STOCK_GROUP)
     rows = scope.keys_in(rows, "metric_key", fv.POPULATION_MEASURES)
@@ -172,7 +172,7 @@ def mart_population_split_yearly(atomic: DataFrame, prefix: str | None = None) -
     )
 
 
-def mart_births_by_sex_yearly(atomic: DataFrame, prefix: str | None = None) -> DataFrame:
+def mart_births_by_sex_yearly(atomic: DataFrame, prefix: str | None = fv.DEFAULT_GEO_PREFIX) -> DataFrame:
     """Births by sex with shares and the difference to the total."""
     rows = scope.keys_in(scope.in_region(atomic, prefix), "metric_key", list(fv.BIRTH_MEASURES.values()))
     wide = reshape.pivot_max(rows, ["geo_code", "year"], fv.BIRTH_MEASURES)
@@ -184,7 +184,7 @@ def mart_births_by_sex_yearly(atomic: DataFrame, prefix: str | None = None) -> D
     )
 
 
-def mart_metric_coverage(atomic: DataFrame, prefix: str | None = None) -> DataFrame:
+def mart_metric_coverage(atomic: DataFrame, prefix: str | None = fv.DEFAULT_GEO_PREFIX) -> DataFrame:
     """Rows and known values per metric and year."""
     return summarise.coverage(scope.in_region(atomic, prefix), ["metric_key", "year"])
 
@@ -198,7 +198,7 @@ MARTS = [
 
 
 def build_models(
-    spark: SparkSession, atomic: DataFrame, prefix: str | None = None, geo: DataFrame | None = None
+    spark: SparkSession, atomic: DataFrame, prefix: str | None = fv.DEFAULT_GEO_PREFIX, geo: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Every model above the atomic table, by its published name."""
     geo = dim_geo(atomic, seeds.geo_override(spark)) if geo is None else geo

@@ -2,146 +2,133 @@
 
 from __future__ import annotations
 
-import re
+import csv
+import fnmatch
+import hashlib
+import io
+from collections.abc import Iterator
+from datetime import datetime
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.functions.text import WHITESPACE, sha256_hex, strip_quotes
 from tallyspan.operators.summarise import status_counts
 
-SHA_LIMIT = 128 * 1024 * 1024
-UNQUOTED_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _files(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths, recursiveFileLookup="true", pathGlobFilter=glob)
-
-
-def _lines(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
-    return spark.read.text(paths, recursiveFileLookup=True, pathGlobFilter=glob)
-
-
-def _path() -> Column:
-    return F.col("_metadata.file_path")
-
-
-def _field_count(line: Column) -> Column:
-    bare = F.when(line.contains('"'), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-
-
-def profile_files(
-    spark: SparkSession, paths: str | list[str], glob: str = "*.csv", sha_limit: int = SHA_LIMIT
-) -> DataFrame:
-    """Every file's digest and shape: ``path, bytes, modified_at, digest_kind,
-    digest, rows, cols, columns, profile_error``.
-
-    Up to ``sha_limit`` bytes the digest is the SHA-256 of the content. A larger
-    file would have to pass through one task as one value, so its lines are
-    hashed where they are read and summed per file instead; that digest does
-    not depend on the order of lines.
-
-    One scan counts lines and finds the widest line per file, combined before
-    the exchange. A file that cannot be a table gets an error text, not a
-    failure. A record is a line: quoted line breaks are not joined.
-    """
-    files = _listing(spark, paths, glob)
-    found = _small_files(spark, paths, glob, sha_limit).unionByName(_large_files(spark, paths, glob, sha_limit))
-    shape = (
-        _lines(spark, paths, glob)
-        .where(F.btrim("value", F.lit(WHITESPACE)) != "")
-        .groupBy(_path().alias("path"))
-        .agg(F.count(F.lit(1)).alias("_lines"), F.max(_field_count(F.col("value"))).alias("_widest"))
-    )
-    header = F.regexp_replace("_header", "^\ufeff", "")
-    columns = F.transform(F.split(header, UNQUOTED_COMMA), strip_quotes)
-    error = F.when(F.col("_lines").isNull(), F.lit("no columns to parse")).when(
-        F.col("_widest") > F.size("_columns"),
-        F.format_string("expected %d fields, found %d", F.size("_columns"), F.col("_widest")),
-    )
-    fine = F.col("profile_error").isNull()
-    return (
-        files.join(found, "path", "left")
-        .join(shape, "path", "left")
-        .withColumn("_columns", columns)
-        .withColumn("profile_error", error)
-        .select(
-            "path",
-            "bytes",
-            "modified_at",
-            F.coalesce("digest_kind", F.lit("sha256")).alias("digest_kind"),
-            F.coalesce("digest", sha256_hex(F.lit(""))).alias("digest"),
-            F.when(fine, F.col("_lines") - 1).alias("rows"),
-            F.when(fine, F.size("_columns")).alias("cols"),
-            F.when(fine, F.col("_columns")).alias("columns"),
-            "profile_error",
-        )
-    )
-
-
-def _listing(spark: SparkSession, paths: str | list[str], glob: str) -> DataFrame:
-    """Every file with its size. Scans skip empty files, the file listing does not;
-    an empty file has no modification time here."""
-    scan = _files(spark, paths, glob)
-    # The listing writes file:///a where a scan's own metadata writes file:/a.
-    names = [re.sub("^file:/+", "file:/", path) for path in scan.inputFiles()]
-    listed = spark.createDataFrame(pa.table({"path": pa.array(names, pa.string())}))
-    sized = scan.select(
-        _path().alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at")
-    )
-    return listed.join(sized, "path", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0).cast("bigint")))
-
-
-def _small_files(spark: SparkSession, paths: str | list[str], glob: str, sha_limit: int) -> DataFrame:
-    """Digest and header of files read whole."""
-    text = F.ltrim(F.col("content").cast("string"), F.lit(WHITESPACE))
-    return (
-        _files(spark, paths, glob)
-        .where(F.col("length") <= sha_limit)
-        .select(
-            _path().alias("path"),
-            F.lit("sha256").alias("digest_kind"),
-            sha256_hex("content").alias("digest"),
-            F.rtrim(F.substring_index(text, "\n", 1), F.lit(WHITESPACE)).alias("_header"),
-        )
-    )
-
-
-def _large_files(spark: SparkSession, paths: str | list[str], glob: str, sha_limit: int) -> DataFrame:
-    """Digest and header of files read line by line.
-
-    Ids grow along each task, so among the lines of the block at offset 0 the
-    smallest id is the file's first line.
+CHUNK = 1 << 20
+_PROFILE = "path string, bytes bigint, modified_at timestamp, digest string, rows bigint, cols int, columns array<string>, profile_error string"
+
+
+class _Digested(io.RawIOBase):
+    """A stream that hashes what is read from it."""
+
+    def __init__(self, source: pa.NativeFile):
+        self.source, self.sha, self.size = source, hashlib.sha256(), 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer: memoryview) -> int:
+        part = self.source.read(min(len(buffer), CHUNK))
+        buffer[: len(part)] = part
+        self.sha.update(part)
+        self.size += len(part)
+        return len(part)
+
+
+def _shape(lines: io.TextIOBase) -> tuple[int | None, int | None, list[str] | None, str | None]:
+    """Records, columns, their names and, where it is no table, why. A quoted line break is part of its record."""
+    header, n, widest = None, 0, 0
+    try:
+        for record in csv.reader(lines, strict=False):
+            if len(record) < 2 and not "".join(record).strip():
+                continue
+            if header is None:
+                header = [name.strip() for name in record]
+                continue
+            n += 1
+            widest = max(widest, len(record))
+    except csv.Error as error:
+        return None, None, None, str(error)
+    if header is None:
+        return None, None, None, "no columns to parse"
+    if widest > len(header):
+        return None, None, None, f"expected {len(header)} fields, found {widest}"
+    return n, len(header), header, None
+
+
+def _profiled(path: str) -> tuple:
+    """One file in one pass of constant memory: SHA-256 of its bytes, size and shape."""
+    where, name = fs.FileSystem.from_uri(path)
+    with where.open_input_stream(name, compression=None) as source:
+        raw = _Digested(source)
+        buffered = io.BufferedReader(raw, CHUNK)
+        lines = io.TextIOWrapper(buffered, "utf-8-sig", errors="replace", newline="")
+        found = _shape(lines)
+        while buffered.read(CHUNK):  # what a broken table left unread
+            pass
+        lines.detach()
+    return raw.size, raw.sha.hexdigest(), *found
+
+
+def _files_under(root: str, pattern: str) -> Iterator[tuple[str, datetime | None]]:
+    """Every matching file under a folder, as scans name it, with its time."""
+    where, name = fs.FileSystem.from_uri(root)
+    scheme = root.split("://", 1)[0] + "://" + root.split("://", 1)[1].partition("/")[0] if "://" in root else "file:"
+    one = where.get_file_info(name)
+    found = [one] if one.is_file else where.get_file_info(fs.FileSelector(name, recursive=True, allow_not_found=True))
+    for info in found:
+        if info.is_file and fnmatch.fnmatch(info.base_name, pattern) and not info.base_name.startswith(("_", ".")):
+            yield f"{scheme}{info.path}", info.mtime
+
+
+def profile_files(spark: SparkSession, paths: str | list[str], glob: str = "*", tasks: int | None = None) -> DataFrame:
+    """Every file's digest and shape: ``path, bytes, modified_at, digest, rows, cols, columns, profile_error``.
+
+    The digest is the SHA-256 of the bytes for every size. A task lists the
+    roots, other tasks stream one file after the other, ``tasks`` of them at
+    once; no list of files passes the driver. A file that cannot be a table
+    gets an error text, not a failure. Paths are plain, not percent-encoded.
     """
-    lines = (
-        _lines(spark, paths, glob)
-        .where(F.col("_metadata.file_size") > sha_limit)
-        .select(_path().alias("path"), F.col("_metadata.file_block_start").alias("_start"), "value")
-    )
-    digests = (
-        lines.groupBy("path")
-        .agg(F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
-        .select("path", sha256_hex(F.concat_ws(":", "_sum", "_n")).alias("digest"))
-    )
-    headers = (
-        lines.where((F.col("_start") == 0) & (F.btrim("value", F.lit(WHITESPACE)) != ""))
-        .select("path", "value", F.monotonically_increasing_id().alias("_id"))
-        .groupBy("path")
-        .agg(F.min_by("value", "_id").alias("_header"))
-    )
-    return digests.join(headers, "path", "left").select(
-        "path", F.lit("lines").alias("digest_kind"), "digest", "_header"
-    )
+    roots = [(p,) for p in ([paths] if isinstance(paths, str) else paths)]
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for root in batch.column(0).to_pylist():
+                found = list(_files_under(root.removeprefix("file:") if root.startswith("file:/") and not root.startswith("file://") else root, glob))
+                names = ["path", "modified_at"]
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([t for _, t in found], pa.timestamp("us", "UTC"))], names)
+
+    def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(1 << 30)
+        for batch in batches:
+            for path, modified in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                size, digest, rows, cols, columns, error = _profiled(path.removeprefix("file:"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([path]),
+                        pa.array([size], pa.int64()),
+                        pa.array([modified.as_py()], pa.timestamp("us", "UTC")),
+                        pa.array([digest]),
+                        pa.array([rows], pa.int64()),
+                        pa.array([cols], pa.int32()),
+                        pa.array([columns], pa.list_(pa.string())),
+                        pa.array([error], pa.string()),
+                    ],
+                    ["path", "bytes", "modified_at", "digest", "rows", "cols", "columns", "profile_error"],
+                )
+
+    width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = spark.createDataFrame(roots, "root string").mapInArrow(listed, "path string, modified_at timestamp")
+    return files.distinct().repartition(width, "path").mapInArrow(profiled, _PROFILE)
 
 
 def audit(
     spark: SparkSession,
     manifest: DataFrame,
     paths: str | list[str],
-    glob: str = "*.csv",
-    sha_limit: int = SHA_LIMIT,
+    glob: str = "*",
     filename: Column | None = None,
 ) -> DataFrame:
     """Manifest items with the state of their file, stamped with the time of the audit.
@@ -151,7 +138,7 @@ def audit(
     no table) or ``missing``.
     """
     named = F.element_at(F.split("path", "/"), -1) if filename is None else filename
-    found = profile_files(spark, paths, glob, sha_limit).withColumn("filename", named)
+    found = profile_files(spark, paths, glob).withColumn("filename", named)
     status = (
         F.when(F.col("path").isNull(), F.lit("missing"))
         .when(F.col("profile_error").isNotNull(), F.lit("unreadable"))

@@ -85,7 +85,7 @@ def test_year_filter_reaches_the_scan(spark, plan, tmp_path):
     assert "GreaterThanOrEqual(year,2012)" in plan(scope.year_range(wh.read_atomic(spark, path), 2012, 2013))
 
 
-@pytest.mark.parametrize("name", ["mart_region_overview_yearly", "dq_suite", "reconciliation_report", "file_audit"])
+@pytest.mark.parametrize("name", ["mart_region_overview_yearly", "dq_suite", "reconciliation_report"])
 def test_plans_stay_in_the_jvm(spark, plan, name):
     text = plan(QUERIES[name](spark, SF))
     for slow in ["Python", "ArrowEval", "CartesianProduct", "NestedLoop"]:

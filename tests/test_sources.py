@@ -145,16 +145,12 @@ def landed(tmp_path):
     return folder, contents
 
 
-@pytest.mark.parametrize("limit", [audit.SHA_LIMIT, 5])
-def test_profile_of_files(spark, landed, limit):
+def test_profile_of_files(spark, landed):
     folder, contents = landed
-    got = {r["path"].rsplit("/", 1)[1]: r for r in audit.profile_files(spark, str(folder), sha_limit=limit).collect()}
+    got = {r["path"].rsplit("/", 1)[1]: r for r in audit.profile_files(spark, str(folder)).collect()}
     assert set(got) == set(contents)
     for name, content in contents.items():
-        assert got[name]["bytes"] == len(content)
-        if limit == audit.SHA_LIMIT:
-            assert got[name]["digest"] == hashlib.sha256(content).hexdigest()
-            assert got[name]["digest_kind"] == "sha256"
+        assert (got[name]["bytes"], got[name]["digest"]) == (len(content), hashlib.sha256(content).hexdigest())
     good = got["good.csv"]
     assert (good["rows"], good["cols"], good["columns"], good["profile_error"]) == (2, 3, ["Code", "Name, full", "2010"], None)
     assert got["windows.csv"]["columns"] == ["a", "b"] and got["windows.csv"]["rows"] == 1
@@ -162,35 +158,32 @@ def test_profile_of_files(spark, landed, limit):
     assert got["empty.csv"]["profile_error"] == "no columns to parse"
 
 
-def test_line_digest_sees_changes(spark, tmp_path):
-    def digest(text):
-        path = tmp_path / hashlib.md5(text.encode()).hexdigest()
-        path.mkdir()
-        (path / "f.csv").write_text(text)
-        row = audit.profile_files(spark, str(path), sha_limit=1).first()
-        assert row["digest_kind"] == "lines"
-        return row["digest"]
-
-    assert digest("a,b\n1,2\n3,4\n") == digest("a,b\n3,4\n1,2\n")
-    assert digest("a,b\n1,2\n") != digest("a,b\n1,3\n") != digest("a,b\n1,3\n1,3\n")
-
-
-def test_profile_of_a_file_in_many_splits(spark, tmp_path):
-    lines = ["id,name"] + [f"{i},n{i}" for i in range(20000)]
-    (tmp_path / "big.csv").write_text("\n".join(lines) + "\n")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
-    try:
-        whole = audit.profile_files(spark, str(tmp_path)).first()
-        split = audit.profile_files(spark, str(tmp_path), sha_limit=1).first()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert whole["digest"] == hashlib.sha256((tmp_path / "big.csv").read_bytes()).hexdigest()
-    for row in (whole, split):
-        assert (row["rows"], row["cols"], row["columns"]) == (20000, 2, ["id", "name"])
-    again = audit.profile_files(spark, str(tmp_path), sha_limit=1).first()
-    assert (again["digest"], again["digest_kind"]) == (split["digest"], "lines")
+def test_digest_sees_a_change_of_line_order(spark, tmp_path):
+    def snapshot(text):
+        (tmp_path / "f.csv").write_text(text)
+        return spark.createDataFrame(audit.profile_files(spark, str(tmp_path)).select("path", "digest").collect(), "path string, digest string")
+
+    before = snapshot("a,b\n1,2\n3,4\n")
+    assert [r["status"] for r in audit.compare_snapshots(before, snapshot("a,b\n3,4\n1,2\n")).collect()] == ["changed"]
+    assert [r["status"] for r in audit.compare_snapshots(before, snapshot("a,b\n1,2\n3,4\n")).collect()] == ["unchanged"]
+
+
+def test_profile_of_a_large_file(spark, tmp_path):
+    content = "id,name\n" + "".join(f'{i},"n\n{i}"\n' for i in range(300_000))
+    (tmp_path / "big.csv").write_text(content)
+    row = audit.profile_files(spark, str(tmp_path)).first()
+    assert (row["rows"], row["cols"], row["columns"], row["bytes"]) == (300_000, 2, ["id", "name"], len(content))
+    assert row["digest"] == hashlib.sha256(content.encode()).hexdigest()
+
+
+def test_audit_finds_files_of_any_name(spark, tmp_path):
+    folder = tmp_path / "my raw"
+    folder.mkdir()
+    for name in ("a b.csv", "plain.txt", "100%.csv"):
+        (folder / name).write_text('Code,Name\n1,"x\ny"\n')
+    expected = spark.createDataFrame([("a b.csv",), ("plain.txt",), ("100%.csv",), ("gone.csv",)], "filename string")
+    got = {r["filename"]: (r["status"], r["rows"]) for r in audit.audit(spark, expected, str(folder)).collect()}
+    assert got == {"a b.csv": ("ok", 1), "plain.txt": ("ok", 1), "100%.csv": ("ok", 1), "gone.csv": ("missing", None)}
 
 
 def test_audit_records_every_item(spark, landed, tmp_path):
