@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from tallyspan import fixed_values as fv
 from tallyspan import jobs
+from tallyspan.plans import ingest
 from tallyspan.sources.wide_csv import registry
 
 
@@ -19,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     build.add_argument("--out", required=True)
     build.add_argument("--prefix", default=fv.DEFAULT_GEO_PREFIX)
     build.add_argument("--all-regions", action="store_true", help="marts over every geography")
+    build.add_argument("--years", nargs=2, type=int, default=[fv.FIRST_YEAR, fv.LAST_YEAR], metavar=("FIRST", "LAST"))
     build.add_argument("--ids", type=int, nargs="*", default=fv.STAGED_DATASETS)
     test = commands.add_parser("test", help="declared data tests")
     test.add_argument("--out", required=True)
@@ -33,7 +35,10 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("tallyspan").getOrCreate()
     if args.command == "build":
-        jobs.build_warehouse(spark, registry(args.raw, args.ids), args.out, None if args.all_regions else args.prefix)
+        sources, years = registry(args.raw, args.ids), [str(y) for y in range(args.years[0], args.years[1] + 1)]
+        jobs.build_warehouse(spark, sources, args.out, None if args.all_regions else args.prefix, years)
+        if unread := ingest.unread_years(spark, sources, years):
+            print("year columns not read:", *unread)
     elif args.command == "test":
         jobs.test_warehouse(jobs.load_warehouse(spark, args.out)).orderBy("passed", "table_name").show(100, False)
     elif args.command == "export":

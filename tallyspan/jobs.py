@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,19 +17,20 @@ STORED = ["dim_geo", *wh.MARTS]
 
 
 def build_warehouse(
-    spark: SparkSession, sources: Mapping[int, str], root: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX
+    spark: SparkSession, sources: Mapping[int, str], root: str, prefix: str | None = fv.DEFAULT_GEO_PREFIX,
+    years: Sequence[str] = wh.YEARS, first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
 ) -> dict[str, DataFrame]:
     """Raw extracts to stored tables under ``root``; returns every model by name.
 
     The atomic table, the geography dimension and the marts are written, and
-    under ``rejected_cells`` any cells that are not numbers. Facts are row
+    under ``rejects`` what could not be read. Facts are row
     slices of the atomic table and stay views over it. ``prefix`` scopes the marts,
     ``None`` keeps every geography. The overview mart reads
     the stored dimension instead of deriving it again.
     """
     root = root.rstrip("/")
     atomic = ingest.build_atomic(
-        spark, sources, f"{root}/int_demography_atomic", rejects_path=f"{root}/rejected_cells"
+        spark, sources, f"{root}/int_demography_atomic", rejects_path=f"{root}/rejects", years=years, first_years=first_years
     )
     wh.dim_geo(atomic, seeds.geo_override(spark)).write.mode("overwrite").parquet(f"{root}/dim_geo")
     models = wh.build_models(spark, atomic, prefix, spark.read.parquet(f"{root}/dim_geo"))

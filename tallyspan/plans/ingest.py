@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
@@ -14,13 +14,15 @@ from tallyspan.plans.warehouse import (
     YEARS,
     demography_atomic,
     read_atomic,
-    rejected_cells,
+    rejects,
     staging_long,
     write_atomic,
 )
 from tallyspan.session import new_shared_path
 from tallyspan.sources import seeds
-from tallyspan.sources.wide_csv import audited_groups, header_groups, scan_group
+from tallyspan.sources.wide_csv import Group, audited_groups, header_groups, scan_group
+
+REJECTS = "dataset_id int, code string, geo_name_raw string, year int, found string, reason string"
 
 
 def scan_staging(
@@ -29,18 +31,16 @@ def scan_staging(
     years: Sequence[str] = YEARS,
     first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
     skip: Collection[int] = fv.UNSTAGED_DATASETS,
-    rejected: list[Observation] | None = None,
 ) -> DataFrame:
     """All sources as one long table.
 
     Years outside the list are ignored even where a file has them; a dataset
     with its own first year is cut there; ``skip`` names sources that are
     catalogued but not staged. Sources that share a header are one scan, so the
-    plan grows with the number of headers, not of datasets. ``rejected``
-    receives one observation of bad cells per scan.
+    plan grows with the number of headers, not of datasets.
     """
     groups = header_groups(spark, {i: path for i, path in sources.items() if i not in skip})
-    return _staged(spark, groups, years, first_years, skip, rejected)
+    return _staged(spark, groups, years, first_years, skip)
 
 
 def scan_audited(
@@ -56,28 +56,45 @@ def scan_audited(
 
 def _staged(
     spark: SparkSession,
-    groups: Mapping[tuple[str, ...], list[str]],
+    groups: Mapping[Group, list[str]],
     years: Sequence[str],
     first_years: Mapping[int, int],
     skip: Collection[int],
-    rejected: list[Observation] | None = None,
 ) -> DataFrame:
     staged = []
-    for header, paths in groups.items():
-        seen = None if rejected is None else Observation()
-        staged.append(staging_long(scan_group(spark, header, paths), years, rejected=seen))
-        if seen is not None:
-            rejected.append(seen)
-    long = union_sources(staged)
+    for (header, multi_line), paths in groups.items():
+        staged.append(staging_long(scan_group(spark, header, paths, multi_line=multi_line), years))
+    if not staged:  # no file holds a header
+        return spark.createDataFrame([], "dataset_id int, geo_code bigint, geo_name_raw string, year int, value double")
+    return _in_build(union_sources(staged), first_years, skip).select(*STAGING_COLUMNS)
+
+
+def _in_build(rows: DataFrame, first_years: Mapping[int, int], skip: Collection[int]) -> DataFrame:
+    """Rows of the staged datasets, from each one's first year on; rows without a year stay."""
     for dataset_id, year in first_years.items():
-        long = long.where((F.col("dataset_id") != dataset_id) | (F.col("year") >= year))
-    return long.where(~F.col("dataset_id").isin(*skip)).select(*STAGING_COLUMNS) if skip else long
+        rows = rows.where((F.col("dataset_id") != dataset_id) | F.col("year").isNull() | (F.col("year") >= year))
+    return rows.where(~F.col("dataset_id").isin(*skip)) if skip else rows
 
 
-def scan_rejected(spark: SparkSession, sources: Mapping[int, str], years: Sequence[str] = YEARS) -> DataFrame:
-    """Every filled cell of the sources that is not a number."""
-    groups = header_groups(spark, sources)
-    return union_sources(rejected_cells(scan_group(spark, h, paths), years) for h, paths in groups.items())
+def scan_rejected(
+    spark: SparkSession,
+    sources: Mapping[int, str],
+    years: Sequence[str] = YEARS,
+    first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
+    skip: Collection[int] = fv.UNSTAGED_DATASETS,
+) -> DataFrame:
+    """What the scan with the same arguments leaves out, and why."""
+    groups = header_groups(spark, {i: path for i, path in sources.items() if i not in skip})
+    found = [rejects(scan_group(spark, h, paths, multi_line=m), years) for (h, m), paths in groups.items()]
+    if not found:
+        return spark.createDataFrame([], REJECTS)
+    return _in_build(union_sources(found), first_years, skip)
+
+
+def unread_years(spark: SparkSession, sources: Mapping[int, str], years: Sequence[str] = YEARS) -> list[str]:
+    """Year columns that files hold and a build over `years` does not read."""
+    headers = {c for header, _ in header_groups(spark, sources) for c in header}
+    return sorted(c for c in headers if len(c) == 4 and c.isdigit() and c not in years)
 
 
 def build_atomic(
@@ -86,17 +103,19 @@ def build_atomic(
     path: str | None = None,
     dictionary: DataFrame | None = None,
     rejects_path: str | None = None,
+    years: Sequence[str] = YEARS,
+    first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
+    skip: Collection[int] = fv.UNSTAGED_DATASETS,
 ) -> DataFrame:
     """Scan, unpivot, enrich and store; returns the stored table.
 
     The whole chain is map-only: no exchange between the files and the table.
-    Bad cells are counted on the way; only if there are any does a second scan
-    list them at ``rejects_path``.
+    With ``rejects_path`` a second scan lists there what the first one left
+    out, in place of an earlier list.
     """
     path = path or new_shared_path(spark, "atomic")
     dictionary = seeds.dim_metric(spark) if dictionary is None else dictionary
-    counted: list[Observation] | None = [] if rejects_path else None
-    write_atomic(demography_atomic(scan_staging(spark, sources, rejected=counted), dictionary), path)
-    if counted and any(o.get.get("rejected", 0) for o in counted):
-        scan_rejected(spark, sources).write.mode("overwrite").parquet(rejects_path)
+    write_atomic(demography_atomic(scan_staging(spark, sources, years, first_years, skip), dictionary), path)
+    if rejects_path:
+        scan_rejected(spark, sources, years, first_years, skip).write.mode("overwrite").parquet(rejects_path)
     return read_atomic(spark, path)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.functions.measures import balance, missing_flag, parts_diff, ratio, share
 from tallyspan.operators import dimension, enrich, reshape, scope, summarise
 from tallyspan.sources import seeds
+from tallyspan.sources.wide_csv import BROKEN
 
 STAGING_COLUMNS = ["dataset_id", "geo_code", "geo_name_raw", "year", "value"]
 YEARS = [str(y) for y in range(fv.FIRST_YEAR, fv.LAST_YEAR + 1)]
@@ -32,17 +33,14 @@ def staging_long(
     dataset_id: int | None = None,
     code: str = "Code",
     name: str = "Klassifikator",
-    rejected: Observation | None = None,
 ) -> DataFrame:
     """Wide extract to the long contract, one typed row per known cell.
 
-    Cells that are not numbers become NULL and are dropped here;
-    :func:`rejected_cells` lists them. ``rejected`` observes their number in
-    whatever job runs the result.
+    Cells that are not numbers become NULL and are dropped here, as are rows
+    with a wrong number of fields or a code that is no whole number;
+    :func:`rejects` lists them all.
     """
     cells = _raw_cells(wide, years, dataset_id, code, name)
-    if rejected is not None:
-        cells = cells.observe(rejected, F.count_if(_is_bad()).alias("rejected"))
     return cells.withColumn("value", _number("cell")).where("value is not null").select(*STAGING_COLUMNS)
 
 
@@ -58,21 +56,60 @@ def rejected_cells(
     return cells.where(_is_bad()).select("dataset_id", "geo_code", "geo_name_raw", "year", "cell")
 
 
+def rejects(wide: DataFrame, years: Sequence[str], code: str = "Code", name: str = "Klassifikator") -> DataFrame:
+    """What staging leaves out, and why: ``dataset_id, code, geo_name_raw, year, found, reason``.
+
+    Reasons: ``fields`` (another number of fields than the header, found is the
+    raw row), ``code`` (filled, but no whole number) and ``cell`` (filled, but
+    no number).
+    """
+    text = F.col(code).cast("string")
+    rows = wide.select(
+        F.col("dataset_id").cast("int").alias("dataset_id"),
+        text.alias("code"),
+        F.col(name).alias("geo_name_raw"),
+        F.lit(None).cast("int").alias("year"),
+        F.when(_is_broken(wide), F.col(BROKEN) if BROKEN in wide.columns else F.lit(None)).otherwise(text).alias("found"),
+        F.when(_is_broken(wide), F.lit("fields")).when(_is_bad_code(code), F.lit("code")).alias("reason"),
+    ).where("reason is not null")
+    cells = _raw_cells(wide, years, None, code, name).where(_is_bad())
+    return rows.union(cells.select("dataset_id", F.col("geo_code").cast("string"), "geo_name_raw", "year", "cell", F.lit("cell")))
+
+
+#: A decimal number; suffixes, hexadecimal, NaN and infinities are none, nor is what a double cannot hold.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def _number(cell: str) -> Column:
-    return F.col(cell).try_cast("double")
+    text = F.btrim(cell)
+    value = F.when(text.rlike(NUMBER), text).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
-def _is_bad() -> Column:
-    return (F.btrim("cell") != "") & _number("cell").isNull()
+def _is_bad(cell: str = "cell") -> Column:
+    return (F.btrim(F.col(cell)) != "") & _number(cell).isNull()
+
+
+def _code(code: str) -> Column:
+    return F.btrim(F.col(code).cast("string")).try_cast("bigint")
+
+
+def _is_bad_code(code: str) -> Column:
+    return F.coalesce((F.btrim(F.col(code).cast("string")) != "") & _code(code).isNull(), F.lit(False))
+
+
+def _is_broken(wide: DataFrame) -> Column:
+    return F.col(BROKEN).isNotNull() if BROKEN in wide.columns else F.lit(False)
 
 
 def _raw_cells(wide: DataFrame, years: Sequence[str], dataset_id: int | None, code: str, name: str) -> DataFrame:
     tagged = wide if dataset_id is None else wide.withColumn("dataset_id", F.lit(dataset_id))
+    tagged = tagged.where(~_is_broken(tagged) & ~_is_bad_code(code))
     present = scope.existing(tagged, list(years))
     long = reshape.unpivot_long(tagged, ["dataset_id", code, name], present, "year", "cell", "string")
     return long.select(
         F.col("dataset_id").cast("int").alias("dataset_id"),
-        F.col(code).cast("bigint").alias("geo_code"),
+        _code(code).alias("geo_code"),
         F.col(name).alias("geo_name_raw"),
         F.col("year").cast("int").alias("year"),
         "cell",
@@ -105,8 +142,15 @@ def write_atomic(atomic: DataFrame, path: str) -> None:
     )
 
 
+#: As stored, so that a table without rows can be read, too.
+ATOMIC = (
+    "dataset_id int, geo_code bigint, geo_name_raw string, year int, metric_group string, sex string, "
+    "settlement_type string, value double, region_code string, metric_key string"
+)
+
+
 def read_atomic(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(ATOMIC).parquet(path)
 
 
 def dim_geo(atomic: DataFrame, overrides: DataFrame) -> DataFrame:

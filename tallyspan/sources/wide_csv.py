@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,10 @@ from pyspark.sql import types as T
 from tallyspan import fixed_values as fv
 
 ID_COLUMNS = {"Code": T.LongType()}
+#: Raw text of a row whose number of fields is not the header's.
+BROKEN = "_broken_row"
+#: Column names, and whether the files hold quoted line breaks.
+Group = tuple[tuple[str, ...], bool]
 
 
 def registry(
@@ -26,31 +31,51 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(c.lstrip("\ufeff").strip() for c in spark.read.csv(path, header=True, escape='"').columns)
 
 
-def header_groups(
-    spark: SparkSession, sources: Mapping[int, str], threads: int = 8
-) -> dict[tuple[str, ...], list[str]]:
-    """Sources that share a header, so that each group is one scan.
+def file_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path, first line, and whether any line holds an odd number of quotes, for every file that is not empty.
 
-    One small job per source; with very many sources use the headers the audit
-    has already read (:func:`audited_groups`).
+    One job over all files. An odd line means a quoted line break somewhere, so
+    that lines are no records.
     """
-    with ThreadPoolExecutor(threads) as pool:
-        headers = pool.map(lambda path: header_of(spark, path), sources.values())
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(sources.values(), headers):
-        groups.setdefault(header, []).append(path)
+    lines = spark.read.text(list(paths), recursiveFileLookup=True).where(F.btrim("value", F.lit(" \t\r\ufeff")) != "")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id")).alias("at"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.col("value")).alias("value"),
+        (quotes % 2 == 1).alias("odd"),
+    )
+    return placed.groupBy("path").agg(F.min_by("value", "at").alias("line"), F.max("odd").alias("odd"))
+
+
+def header_groups(spark: SparkSession, sources: Mapping[int, str]) -> dict[Group, list[str]]:
+    """Files that share a header and a way of reading, so that each group is one scan.
+
+    Empty files belong to none. Names are trimmed; scans go by position within
+    a group, whose files all have the same names in the same order.
+    """
+    groups: dict[Group, list[str]] = {}
+    for path, line, odd in file_heads(spark, list(sources.values())).toLocalIterator():
+        path = unquote(path)
+        if line.count('"') % 2:  # the header itself holds a line break
+            names = spark.read.csv(path, header=True, escape='"', multiLine=True).columns
+        else:
+            names = next(csv.reader([line]))
+        header = tuple(n.lstrip("\ufeff").strip() for n in names)
+        groups.setdefault((header, odd), []).append(path)
     return groups
 
 
-def audited_groups(records: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Header groups of all readable files in audit records, without further jobs per file.
+def audited_groups(records: DataFrame) -> dict[Group, list[str]]:
+    """Header groups of all readable files in audit records, without a look at the files.
 
-    Names the files to scan, which the driver lists for any scan.
+    Whether a file holds quoted line breaks is not among the records, so all are
+    read as if they did; that gives the same rows, with a task per file.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[Group, list[str]] = {}
     readable = records.where("columns is not null and path is not null").select("columns", "path")
     for columns, path in readable.toLocalIterator():
-        groups.setdefault(tuple(columns), []).append(path)
+        groups.setdefault((tuple(columns), True), []).append(path)
     return groups
 
 
@@ -60,14 +85,24 @@ def source_schema(header: Sequence[str]) -> T.StructType:
 
 
 def scan_group(
-    spark: SparkSession, header: Sequence[str], paths: Sequence[str], id_pattern: str = fv.RAW_FILE_ID_PATTERN
+    spark: SparkSession,
+    header: Sequence[str],
+    paths: Sequence[str],
+    id_pattern: str = fv.RAW_FILE_ID_PATTERN,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """One scan over all sources with this header, tagged with the id in the path.
+    """One scan over all files with this header, as text, tagged with the id in the path.
 
-    ``enforceSchema=False`` makes a file whose header deviates an error; with
-    it, values would silently move to the wrong year.
+    A row with more or fewer fields than the header keeps its raw text in
+    ``BROKEN``, else null; only a reader that prunes no columns can tell.
+    ``multi_line`` reads quoted line breaks; both ways
+    give the same rows where there are none.
     """
-    raw = spark.read.schema(source_schema(header)).csv(list(paths), header=True, escape='"', enforceSchema=False)
+    names = [c if c and c not in header[:i] else f"_column_{i}" for i, c in enumerate(header)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, BROKEN]])
+    raw = spark.read.schema(schema).option("columnPruning", False).csv(
+        list(paths), header=True, escape='"', multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN
+    )
     found = F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1).cast("int")
     return raw.select(found.alias("dataset_id"), "*")
 

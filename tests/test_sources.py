@@ -59,12 +59,6 @@ def test_quoted_names_and_bad_cells(spark, extracts):
     assert rows(wh.rejected_cells(wide, wh.YEARS)) == [(223, 1714401, "Namangan shahri", 2010, "-")]
 
 
-def test_deviating_header_is_an_error(spark, extracts):
-    header = wide_csv.header_of(spark, extracts[246])
-    with pytest.raises(Exception, match="header"):
-        wide_csv.scan_group(spark, header, [extracts[246], extracts[244]]).collect()
-
-
 def test_build_atomic_is_stored_and_drops_unknown_datasets(spark, extracts, plan):
     atomic = ingest.build_atomic(spark, extracts)
     assert {r["dataset_id"] for r in atomic.select("dataset_id").distinct().collect()} == {223, 224, 244, 246}
@@ -76,12 +70,12 @@ def test_build_atomic_is_stored_and_drops_unknown_datasets(spark, extracts, plan
         (1714, 2010, 10.0, 4.0), (1714401, 2011, 20.5, None)]
 
 
-def test_build_lists_bad_cells_only_when_there_are_any(spark, extracts, tmp_path):
-    rejects = tmp_path / "rejects"
-    ingest.build_atomic(spark, {224: extracts[224], 246: extracts[246]}, rejects_path=str(rejects))
-    assert not rejects.exists()
-    ingest.build_atomic(spark, extracts, rejects_path=str(rejects))
-    assert rows(spark.read.parquet(str(rejects))) == [(223, 1714401, "Namangan shahri", 2010, "-")]
+def test_build_lists_what_it_leaves_out(spark, extracts, tmp_path):
+    rejects = str(tmp_path / "rejects")
+    ingest.build_atomic(spark, extracts, rejects_path=rejects)
+    assert rows(spark.read.parquet(rejects)) == [(223, "1714401", "Namangan shahri", 2010, "-", "cell")]
+    ingest.build_atomic(spark, {224: extracts[224], 246: extracts[246]}, rejects_path=rejects)
+    assert spark.read.parquet(rejects).count() == 0
 
 
 def test_raw_tables_are_replaceable(spark, extracts):
@@ -232,3 +226,54 @@ def test_export_survives_a_table_that_fails_while_it_runs(spark, tmp_path):
 def test_shared_folder_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
+
+
+def scanned(spark, tmp_path, text, **build):
+    (tmp_path / "my raw").mkdir(exist_ok=True)
+    (tmp_path / "my raw" / "sdmx_data_223.csv").write_text(text, encoding="utf-8")
+    sources = wide_csv.registry(str(tmp_path / "my raw"), [223])
+    staged = [tuple(r)[1:] for r in ingest.scan_staging(spark, sources, **build).collect()]
+    left_out = [(r.code, r.year, r.found, r.reason) for r in ingest.scan_rejected(spark, sources, **build).collect()]
+    return sorted(staged, key=str), sorted(left_out, key=str)
+
+
+def test_quoted_line_break_keeps_its_years(spark, tmp_path):
+    text = 'Code,Klassifikator,2010,2013,2025\n1714,"A\nB ""x"", y",1,2,3\n1715,C,4,5,6\n'
+    staged, left_out = scanned(spark, tmp_path, text)
+    assert staged == [(1714, 'A\nB "x", y', 2010, 1.0), (1714, 'A\nB "x", y', 2013, 2.0), (1715, "C", 2010, 4.0), (1715, "C", 2013, 5.0)]
+    assert left_out == []
+
+
+def test_bad_codes_and_field_counts_are_rejects(spark, tmp_path):
+    text = "Code,Klassifikator,2010,2011\n17x4,a,1,2\n1715,b,1,2,3\n1716,c,1\n1717,d,5,6\n ,e,7,8\n"
+    staged, left_out = scanned(spark, tmp_path, text)
+    assert staged == [(1717, "d", 2010, 5.0), (1717, "d", 2011, 6.0), (None, "e", 2010, 7.0), (None, "e", 2011, 8.0)]
+    assert left_out == [("1715", None, "1715,b,1,2,3", "fields"), ("1716", None, "1716,c,1", "fields"), ("17x4", None, "17x4", "code")]
+
+
+def test_number_grammar(spark, tmp_path):
+    cells = ["12d", "12f", "0x1p3", "NaN", "inf", "1e400", "1_0", " 12 ", "+1.5e2", ".5", "5.", "-3"]
+    text = "Code,Klassifikator,2010\n" + "".join(f"{i},n,{c}\n" for i, c in enumerate(cells))
+    staged, left_out = scanned(spark, tmp_path, text)
+    assert {r[0]: r[3] for r in staged} == {7: 12.0, 8: 150.0, 9: 0.5, 10: 5.0, 11: -3.0}
+    assert {found for _, _, found, reason in left_out if reason == "cell"} == set(cells[:7])
+
+
+def test_empty_files_and_blanks_in_headers(spark, tmp_path):
+    assert scanned(spark, tmp_path, "") == ([], [])
+    assert scanned(spark, tmp_path, " Code , Klassifikator, 2010 \n1714,a,1\n")[0] == [(1714, "a", 2010, 1.0)]
+
+
+def test_rejects_and_years_belong_to_the_build(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "rejects")
+    raw.mkdir()
+    for i, text in {223: "1714,a,-,2", 238: "1714,a,-,2", 244: "1714,a,-,2"}.items():
+        (raw / f"sdmx_data_{i}.csv").write_text(f"Code,Klassifikator,2010,2025\n{text}\n")
+    sources = wide_csv.registry(str(raw), [223, 238, 244])
+    ingest.build_atomic(spark, sources, rejects_path=out)
+    assert [(r.dataset_id, r.year, r.reason) for r in spark.read.parquet(out).collect()] == [(223, 2010, "cell")]
+    assert ingest.unread_years(spark, sources) == ["2025"]
+    (raw / "sdmx_data_223.csv").write_text("Code,Klassifikator,2010,2025\n1714,a,1,2\n")
+    wide = ingest.build_atomic(spark, sources, rejects_path=out, years=["2010", "2025"])
+    assert spark.read.parquet(out).count() == 0
+    assert {r.year for r in wide.where("dataset_id = 223").collect()} == {2010, 2025}
