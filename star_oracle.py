@@ -279,6 +279,11 @@ SQL: dict[str, str] = {
     "rejected_cells": """SELECT 223 AS dataset_id, p_partkey AS geo_code, p_name AS geo_name_raw,
         CAST(2011 AS INTEGER) AS year, p_type AS cell FROM part
         WHERE p_type IS NOT NULL AND TRY_CAST(p_type AS DOUBLE) IS NULL""",
+    "csv_rejects": """WITH p AS (SELECT *, p_name || chr(10) || '"second", line' AS name FROM part)
+        SELECT 223 AS dataset_id, p_partkey || 'x' AS code, name AS geo_name_raw, CAST(NULL AS INTEGER) AS year,
+          p_partkey || 'x' AS found, 'code' AS reason FROM p WHERE p_partkey % 10 = 0
+        UNION ALL SELECT 223, CAST(p_partkey AS VARCHAR), name, 2011, p_type, 'cell' FROM p
+        WHERE p_partkey % 10 <> 0 AND TRY_CAST(p_type AS DOUBLE) IS NULL AND p_type IS NOT NULL""",
     "csv_extracts_to_atomic": f"WITH {ATOMIC} SELECT {_atomic_columns} FROM atomic",
     "raw_source_tables": f"""WITH {LONG} SELECT 'raw.sdmx_data_' || dataset_id AS table_name, geo_code AS code,
         geo_name_raw AS klassifikator, {", ".join(f"max(value) FILTER (WHERE year = {y}) AS y{y}" for y in YEARS)}

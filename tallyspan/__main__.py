@@ -31,6 +31,11 @@ def main(argv: list[str] | None = None) -> None:
     audit.add_argument("--manifest", required=True)
     audit.add_argument("--raw", required=True)
     audit.add_argument("--records", required=True)
+    changes = commands.add_parser("changes", help="files that changed between the last two audits")
+    changes.add_argument("--records", required=True)
+    stale = commands.add_parser("stale", help="files of the last audit that are too old")
+    stale.add_argument("--records", required=True)
+    stale.add_argument("--days", type=int, required=True)
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tallyspan").getOrCreate()
@@ -44,6 +49,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "export":
         jobs.load_warehouse(spark, args.out)
         jobs.export_marts(spark, args.csv).show(truncate=False)
+    elif args.command == "changes":
+        jobs.landing_changes(spark, args.records).orderBy("status", "path").show(1000, False)
+    elif args.command == "stale":
+        jobs.stale_files(spark, args.records, args.days).orderBy("path").show(1000, False)
     else:
         jobs.audit_landing(spark, args.manifest, args.raw, args.records).show()
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.operators.quality import run_rules
@@ -61,6 +63,29 @@ def export_marts(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def audit_landing(spark: SparkSession, manifest_path: str, raw_dir: str, out: str) -> DataFrame:
-    """Audit records of the manifest's files, written to ``out`` as JSON; returns the tally."""
-    fa.write_audit(fa.audit(spark, manifest.read_manifest(spark, manifest_path), raw_dir), out)
-    return fa.audit_tally(spark.read.json(out))
+    """Audit records of the manifest's files, kept as JSON in a folder of their own run under ``out``; returns the tally."""
+    run = f"{out.rstrip('/')}/run={datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    fa.write_audit(fa.audit(spark, manifest.read_manifest(spark, manifest_path), raw_dir), run)
+    return fa.audit_tally(spark.read.json(run))
+
+
+def _runs(spark: SparkSession, out: str) -> tuple[DataFrame, list[str]]:
+    """All records, and the last two runs, the newer first."""
+    records = spark.read.json(out).withColumn("run", F.col("run").cast("string"))
+    return records, [r.run for r in records.select("run").distinct().orderBy(F.desc("run")).limit(2).collect()]
+
+
+def landing_changes(spark: SparkSession, out: str) -> DataFrame:
+    """Files that are new, missing, changed or unchanged between the last two audits; all new after the first one."""
+    records, runs = _runs(spark, out)
+    landed = records.where("path is not null")
+    before = landed.where(F.col("run") == (runs[1] if len(runs) > 1 else ""))
+    return fa.compare_snapshots(before, landed.where(F.col("run") == runs[0]))
+
+
+def stale_files(spark: SparkSession, out: str, max_age_days: int) -> DataFrame:
+    """Files of the last audit that are older than the limit, with their age in days."""
+    records, runs = _runs(spark, out)
+    landed = records.where((F.col("run") == runs[0]) & F.col("path").isNotNull())
+    stamped = landed.select("filename", "path", F.to_timestamp("modified_at").alias("modified_at"))
+    return fa.freshness(stamped, "modified_at", F.current_date(), max_age_days).where("not fresh")

@@ -143,6 +143,22 @@ def csv_extracts_to_atomic(spark, sf):
     return ingest.build_atomic(spark, _written_extracts(spark, sf)).drop("region_code")
 
 
+@query
+def csv_rejects(spark, sf):
+    """What a scan leaves out of parts written as an extract with bad codes, text cells and names over two lines."""
+    code = F.col("p_partkey").cast("string")
+    wide = star.read_table(spark, sf, "part").select(
+        F.lit(223).alias("dataset_id"),
+        F.when(F.col("p_partkey") % 10 == 0, F.concat(code, F.lit("x"))).otherwise(code).alias("Code"),
+        F.concat("p_name", F.lit('\n"second", line')).alias("Klassifikator"),
+        F.col("p_size").cast("string").alias("2010"),
+        F.col("p_type").alias("2011"),
+    )
+    path = new_shared_path(spark, "bad-extracts")
+    wide_csv.write_wide(wide, path)
+    return ingest.scan_rejected(spark, wide_csv.registry(path, [223], wide_csv.WRITTEN_NAMING))
+
+
 @query
 def raw_source_tables(spark, sf):
     """The raw tables as registered, one per dataset."""

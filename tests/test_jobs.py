@@ -1,12 +1,15 @@
 """The whole warehouse from files to exported marts."""
 
 import csv
+import os
+import time
 
 import pytest
 
 from tallyspan import fixed_values as fv
 from tallyspan import jobs
 from tallyspan.__main__ import main
+from tallyspan.sources import audit as fa
 from tallyspan.sources.wide_csv import registry
 
 GEOS = [(1714, "Namangan viloyati"), (1714401, "Namangan shahri"), (1714999, "Yangi TUMANI"), (1718, "Boshqa viloyati")]
@@ -93,3 +96,29 @@ def test_command_line(spark, raw, tmp_path):
     main(["export", "--out", out, "--csv", str(tmp_path / "csv")])
     back = spark.read.csv(str(tmp_path / "csv" / "mart_births_by_sex_yearly"), header=True)
     assert back.count() == 15 and {r["geo_code"] for r in back.collect()} == {"1718"}
+
+
+def test_changes_and_age_of_landed_files(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "records")
+    raw.mkdir()
+    names = ["a.csv", "b.csv", "c.csv"]
+    for name in names[:2]:
+        (raw / name).write_text("Code,Name\n1,x\n2,y\n")
+    expected = spark.createDataFrame([(n,) for n in names], "filename string")
+
+    def audit_once():
+        run = f"{out}/run={time.time_ns()}"
+        fa.write_audit(fa.audit(spark, expected, str(raw)), run)
+
+    audit_once()
+    assert {r.status for r in jobs.landing_changes(spark, out).collect()} == {"new"}
+    (raw / "a.csv").write_text("Code,Name\n2,y\n1,x\n")
+    (raw / "c.csv").write_text("Code,Name\n1,x\n")
+    (raw / "b.csv").unlink()
+    audit_once()
+    got = {r.path.rsplit("/", 1)[1]: r.status for r in jobs.landing_changes(spark, out).collect()}
+    assert got == {"a.csv": "changed", "b.csv": "missing", "c.csv": "new"}
+    assert jobs.stale_files(spark, out, 1).count() == 0
+    os.utime(raw / "c.csv", (0, 0))
+    audit_once()
+    assert [r.filename for r in jobs.stale_files(spark, out, 1).collect()] == ["c.csv"]
