@@ -10,7 +10,7 @@ from tallyspan.functions import measures as ms
 from tallyspan.functions import text as tx
 from tallyspan.operators import enrich, quality, reshape, scope, summarise
 from tallyspan.operators.quality import Check, Rule, Slice
-from tallyspan.plans import checks, reports
+from tallyspan.plans import checks, reports, star
 from tallyspan.plans import warehouse as wh
 from tallyspan.sources import seeds
 
@@ -298,3 +298,18 @@ def test_hot_key_results_are_whole(spark):
         for y in by_year:
             inside = by_year[y] + by_year.get(y - 1, [])
             assert math.isclose(rolled[(g, y)], sum(inside) / len(inside))
+
+
+def test_the_suite_tests_the_models_themselves(spark):
+    """A broken fact and a broken staging table fail, though the atomic table is sound."""
+    sf = "/root/testdata/sf0.001"
+    models = wh.build_models(spark, star.atomic(spark, sf))
+    good = models["fact_population_yearly"]
+    bad = good.limit(3).withColumns({"geo_code": F.lit(None).cast("bigint"), "metric_key": F.lit("unknown")})
+    staged = spark.createDataFrame([(223, None, "a", None, 1.0)], "dataset_id int, geo_code bigint, geo_name_raw string, year int, value double")
+    tables = checks.tested_tables({**models, "fact_population_yearly": bad, "stg_sdmx_223_long": staged})
+    rules = [r for r in checks.RULES if r.table in ("fact_population_yearly", "stg_sdmx_223_long")]
+    failed = {(r.table_name, r.column_name, r.test) for r in quality.run_rules(tables, rules).where("not passed").collect()}
+    assert ("fact_population_yearly", "geo_code", "not_null") in failed
+    assert ("fact_population_yearly", "metric_key", "accepted_values") in failed
+    assert any(table == "stg_sdmx_223_long" for table, _, _ in failed)
