@@ -54,10 +54,17 @@ def district_ranking(overview: DataFrame) -> DataFrame:
     return rows.orderBy(F.col(order).asc_nulls_last(), F.col("geo_code"))
 
 
-def segment_series(split: DataFrame, columns: list[str]) -> DataFrame:
-    """Population components as (geo_code, year, segment, value) rows; gaps are kept."""
+def segment_series(
+    split: DataFrame,
+    columns: list[str],
+    prefix: str | None = None,
+    first: int | None = None,
+    last: int | None = None,
+    geo: int | None = None,
+) -> DataFrame:
+    """Population components as (geo_code, year, segment, value) rows of the scope; gaps are kept."""
     columns = scope.existing(split, columns)
-    return reshape.unpivot_long(split, ["geo_code", "year"], columns, "segment", "value", None, keep_nulls=True)
+    return reshape.unpivot_long(scoped(split, prefix, first, last, geo), ["geo_code", "year"], columns, "segment", "value", None, keep_nulls=True)
 
 
 def gap_warnings(split: DataFrame) -> DataFrame:
@@ -69,7 +76,13 @@ def coverage_listing(coverage: DataFrame) -> DataFrame:
     return coverage.orderBy("metric_key", "year")
 
 
-def births_check(births: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Births with their parts and difference, for the chosen years."""
-    rows = scope.year_range(births, first, last)
+def births_check(
+    births: DataFrame,
+    first: int | None = None,
+    last: int | None = None,
+    prefix: str | None = None,
+    geo: int | None = None,
+) -> DataFrame:
+    """Births with their parts and difference, for the chosen years, prefix and geography."""
+    rows = scoped(births, prefix, first, last, geo)
     return rows.select("geo_code", *scope.existing(rows, fv.BIRTH_CHECK_COLUMNS))

@@ -679,6 +679,17 @@ def births_check(spark, sf):
     return reports.births_check(_births(spark, sf, None), 2011, 2015)
 
 
+@query
+def urban_rural_series_scoped(spark, sf):
+    """The same within a prefix, a range of years and one geography."""
+    return reports.segment_series(_split(spark, sf, None), ["population_urban", "population_rural"], "1714", 2011, 2014, 1714207)
+
+
+@query
+def births_check_scoped(spark, sf):
+    return reports.births_check(_births(spark, sf, None), 2011, 2013, "1714", 1714207)
+
+
 # --- change and freshness ----------------------------------------------------
 
 
