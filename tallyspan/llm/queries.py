@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_main_text": lambda spark, sf: main_text.extracted(table(spark, sf, "pages")),
     "op8_token_counts": lambda spark, sf: token_counts.counts_after_revision(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN),
     "op9_sentence_spans": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents")),
+    "op9_passages": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents"), passages=True),
     "op10_ngram_join": lambda spark, sf: ngram_join.similar(table(spark, sf, "documents")),
 }
 

@@ -7,6 +7,13 @@ each sentence on the shortest run of at least two with at least WORDS words.
 Spans are equal when their words are. The first occurrence of a span, by
 document id, then place, stays; sentences covered by any other occurrence go.
 
+A passage with few or no marks may hold no two whole sentences. With `passages`,
+a stretch of REACH or more words without marks is cut further, behind the word
+with the smallest hash among each REACH words in a row. Whether a word is one
+depends on the REACH - 1 words to either side, so any 49 words hold the same run
+of several whole pieces wherever they are pasted. Pieces then stand for
+sentences, and a span begins at a piece that has words.
+
 Spans travel as 64-bit hashes with id and place, never as text. The hash table
 is a plain aggregate, combined before the shuffle; a passage in a third of all
 documents then meets its own rows in a join that adaptive execution can split.
@@ -33,6 +40,7 @@ from tallyspan.llm.common import in_batches, slices, utf8, written
 MARKS = ".!?,;:\n"
 WORDS = 16
 LEAST = 2
+REACH = 9
 PATTERN = f"[^{MARKS}]*[{MARKS}]+|[^{MARKS}]+"
 _SENTENCE = re.compile(PATTERN)
 
@@ -42,7 +50,41 @@ def sentences(text: str | None) -> list[str]:
     return _SENTENCE.findall(text or "")
 
 
-def spans(parts: list[str], words: int = WORDS) -> list[tuple[int, int, int]]:
+def lowest(ranks: list[int], reach: int = REACH) -> list[int]:
+    """The places of the smallest of each `reach` ranks in a row, the last of equal ones."""
+    out, at = [], -1
+    for end in range(reach, len(ranks) + 1):
+        start = end - reach
+        if at < start:
+            window = ranks[start:end]
+            at = end - 1 - window[::-1].index(min(window))
+        elif ranks[end - 1] <= ranks[at]:
+            at = end - 1
+        else:
+            continue
+        out.append(at)
+    return out
+
+
+def pieces(text: str | None) -> list[str]:
+    """All of the text, cut behind marks and, in stretches of REACH or more words without any, behind words chosen by their hash."""
+    out = []
+    for part in sentences(text):
+        rest = utf8(part) if len(part) >= 2 * REACH - 1 else b""
+        found, done = rest.split(), 0
+        if len(found) < REACH:
+            out.append(part)
+            continue
+        for i in lowest(list(map(xxhash.xxh3_64_intdigest, found))):
+            if i + 1 < len(found):
+                after = rest.split(None, i + 1 - done)[-1]  # blanks stay with the piece before
+                out.append(rest[: len(rest) - len(after)].decode())
+                rest, done = after, i + 1
+        out.append(rest.decode())
+    return out
+
+
+def spans(parts: list[str], words: int = WORDS, passages: bool = False) -> list[tuple[int, int, int]]:
     """start, end and hash of the span from each sentence on, where enough words follow."""
     split = [utf8(p).split() for p in parts]
     lengths, joined = list(map(len, split)), list(map(b" ".join, split))
@@ -53,20 +95,22 @@ def spans(parts: list[str], words: int = WORDS) -> list[tuple[int, int, int]]:
                 return out
             held += lengths[end]
             end += 1
-        key = xxhash.xxh3_64_intdigest(b" ".join(j for j in joined[start:end] if j))
-        out.append((start, end, key - (1 << 64) if key >> 63 else key))
+        if n or not passages:
+            key = xxhash.xxh3_64_intdigest(b" ".join(j for j in joined[start:end] if j))
+            out.append((start, end, key - (1 << 64) if key >> 63 else key))
         held -= n
     return out
 
 
-def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, passages: bool = False) -> DataFrame:
     """span, doc_id, place: one row per span."""
+    cut = pieces if passages else sentences
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             keys, ids, places = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = spans(sentences(text), words)
+                found = spans(cut(text), words, passages)
                 keys += [k for _, _, k in found]
                 places += [a for a, _, _ in found]
                 ids += [doc_id] * len(found)
@@ -76,9 +120,9 @@ def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return in_batches(rows, run, "span long, doc_id long, place int")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, passages: bool = False) -> DataFrame:
     """span, doc_id, place of every occurrence but the first."""
-    table = span_table(docs, id_col, text_col, words)
+    table = span_table(docs, id_col, text_col, words, passages)
     firsts = written(
         table.groupBy(F.col("span").alias("f_span"))
         .agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -90,10 +134,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     return table.join(firsts, F.col("span") == F.col("f_span")).where(~here.eqNullSafe(F.col("first"))).select("span", "doc_id", "place")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, passages: bool = False) -> DataFrame:
     """row (all other columns of `docs`), doc_id, n_sentences, n_removed, text (what is left) for every row."""
+    cut = pieces if passages else sentences
     gone = (
-        repeats(docs, id_col, text_col, words)
+        repeats(docs, id_col, text_col, words, passages)
         .groupBy(F.col("doc_id").alias("gone_id"))
         .agg(F.collect_list(F.struct("place", "span")).alias("gone"))  # at most a document's own sentences
     )
@@ -105,14 +150,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in slices(batches, 256):
             n_all, n_gone, left = [], [], []
             for text, removed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                parts = sentences(text)
+                parts = cut(text)
                 n_all.append(len(parts))
                 if not removed:
                     n_gone.append(0)
                     left.append(text)
                     continue
                 listed, covered = {(r["place"], r["span"]) for r in removed}, set()
-                for start, end, key in spans(parts, words):
+                for start, end, key in spans(parts, words, passages):
                     if (start, key) in listed:
                         covered.update(range(start, end))
                 n_gone.append(len(covered))
@@ -133,5 +178,5 @@ def rewritten(docs: DataFrame) -> DataFrame:
     return left.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-def deduped(docs: DataFrame) -> DataFrame:
-    return without_repeats(docs.select("doc_id", "text")).select("doc_id", "n_sentences", "n_removed", "text")
+def deduped(docs: DataFrame, passages: bool = False) -> DataFrame:
+    return without_repeats(docs.select("doc_id", "text"), passages=passages).select("doc_id", "n_sentences", "n_removed", "text")

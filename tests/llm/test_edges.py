@@ -182,6 +182,45 @@ def test_spans_within_one_document_and_across_copies(docs_of):
     assert got[3].n_removed == 0
 
 
+def plain(seed, n):
+    """n words without marks."""
+    rng = random.Random(f"plain {seed}")
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+
+@pytest.mark.parametrize("marks", [(), (20,), (20, 40), (15, 30, 45)])
+def test_passages_with_few_marks_go_wherever_they_are_pasted(docs_of, marks):
+    passage = plain(1, 60).split()
+    for at in marks:
+        passage[at - 1] += "."
+    passage = " ".join(passage)
+    rows = [(i, f"{plain(10 + i, 7 + i)} {passage} {plain(50 + i, 30 - i)}") for i in range(20)]
+    got = {r.doc_id: r for r in sentence_spans.deduped(docs_of(rows), passages=True).collect()}
+    assert got[0].n_removed == 0 and got[0].text == rows[0][1]
+    for i in range(1, 20):
+        assert got[i].text.startswith(plain(10 + i, 7 + i)) and got[i].text.endswith(plain(50 + i, 30 - i))
+        assert len(rows[i][1].split()) - len(got[i].text.split()) >= 60 - 34
+
+
+def test_every_49_words_hold_a_span(docs_of):
+    rng = random.Random(12)
+    for _ in range(300):
+        passage = [w + rng.choice(["", "", "", "", "", "."]) for w in plain(rng.random(), 49).split()]
+        if rng.random() < 0.3:
+            passage = [rng.choice(passage[:3]) for _ in passage]
+        one, two = ({k for _, _, k in sentence_spans.spans(sentence_spans.pieces(f"{plain(rng.random(), rng.randrange(20))} {' '.join(passage)} {plain(rng.random(), 9)}"), passages=True)} for _ in range(2))
+        assert one & two
+
+
+def test_passages_keep_all_text_and_the_first_occurrence(docs_of):
+    alone, copied = plain(2, 30), plain(3, 30)
+    rows = [(1, " \n" + alone), (2, copied), (3, copied), (4, None), (5, ""), (6, alone[:40] + "  ")]
+    got = {r.doc_id: r.text for r in sentence_spans.deduped(docs_of(rows), passages=True).collect()}
+    assert got.pop(3) in copied and got == {k: t for k, t in rows if k != 3}
+    for text in (alone, f" {alone}\t\n {copied} .", "..", f"{copied}   "):
+        assert "".join(sentence_spans.pieces(text)) == text
+
+
 # --- n-gram join ---
 
 
