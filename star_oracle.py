@@ -448,3 +448,4 @@ for _name in (
     SQL[f"{_name}_all"] = _SCOPED.sub("true", SQL[_name])
 SQL["urban_rural_series_scoped"] = f"SELECT * FROM ({SQL['urban_rural_series']}) WHERE year BETWEEN 2011 AND 2014 AND geo_code = 1714207"
 SQL["births_check_scoped"] = f"SELECT * FROM ({SQL['births_check']}) WHERE year BETWEEN 2011 AND 2013 AND geo_code = 1714207"
+SQL["dq_suite_all"] = _SCOPED.sub("true", SQL["dq_suite"])

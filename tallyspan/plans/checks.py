@@ -107,15 +107,16 @@ RULES: list[Rule] = [
 ]
 
 
-def tested_tables(models: Mapping[str, DataFrame]) -> dict[str, DataFrame | Slice]:
+def tested_tables(models: Mapping[str, DataFrame], staging: DataFrame | None = None) -> dict[str, DataFrame | Slice]:
     """The models as they are, and the staging tables.
 
-    A staging table among the models is tested itself. One that is not stored
-    is tested by the atomic rows of its dataset, all of them in one pass; rows
-    that found no metric in the dictionary are not among those.
+    A staging table among the models is tested itself, else as its dataset's
+    rows of ``staging``, all of them in one pass. Without ``staging`` the atomic
+    rows stand in, where rows that found no metric in the dictionary are not
+    among those.
     """
-    atomic = models["int_demography_atomic"]
-    staged = {f"stg_sdmx_{i}_long": Slice(atomic, f"dataset_id = {i}") for i in TESTED_STAGING}
+    rows = models["int_demography_atomic"] if staging is None else staging
+    staged = {f"stg_sdmx_{i}_long": Slice(rows, f"dataset_id = {i}") for i in TESTED_STAGING}
     return {**staged, **models}
 
 

@@ -535,16 +535,28 @@ def dq_orphan_keys(spark, sf):
     return quality.orphan_keys(_orders(spark, sf), builders, "o_custkey", "c_custkey")
 
 
-@query
-def dq_suite(spark, sf):
-    """All declared tests of the warehouse, over the stored tables."""
+def _suite(spark: SparkSession, sf: str, prefix: str | None) -> DataFrame:
+    """All declared tests of the warehouse, over the stored tables; the marts within a prefix."""
     atomic, stored = _stored_atomic(spark, sf), new_shared_path(spark, "models")
     wh.dim_geo(atomic, seeds.geo_override(spark)).write.parquet(f"{stored}/dim_geo")
-    models = wh.build_models(spark, atomic, geo=spark.read.parquet(f"{stored}/dim_geo"))
+    models = wh.build_models(spark, atomic, prefix, spark.read.parquet(f"{stored}/dim_geo"))
     for name in wh.MARTS:
         models[name].write.parquet(f"{stored}/{name}")
         models[name] = spark.read.parquet(f"{stored}/{name}")
-    return quality.run_rules(checks.tested_tables(models), checks.RULES)
+    star.staged_long(spark, sf).write.parquet(f"{stored}/staging")
+    staging = spark.read.parquet(f"{stored}/staging")
+    return quality.run_rules(checks.tested_tables(models, staging), checks.RULES)
+
+
+@query
+def dq_suite(spark, sf):
+    return _suite(spark, sf, fv.DEFAULT_GEO_PREFIX)
+
+
+@query
+def dq_suite_all(spark, sf):
+    """The same with the marts of every geography."""
+    return _suite(spark, sf, None)
 
 
 # --- summaries ---------------------------------------------------------------

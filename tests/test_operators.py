@@ -12,6 +12,7 @@ from tallyspan.operators import enrich, quality, reshape, scope, summarise
 from tallyspan.operators.quality import Check, Rule, Slice
 from tallyspan.plans import checks, reports, star
 from tallyspan.plans import warehouse as wh
+from tallyspan.plans.star_queries import QUERIES
 from tallyspan.sources import seeds
 
 
@@ -313,3 +314,17 @@ def test_the_suite_tests_the_models_themselves(spark):
     assert ("fact_population_yearly", "geo_code", "not_null") in failed
     assert ("fact_population_yearly", "metric_key", "accepted_values") in failed
     assert any(table == "stg_sdmx_223_long" for table, _, _ in failed)
+
+
+def test_the_suite_sees_every_region_and_rows_without_a_metric(spark, monkeypatch):
+    """A null year in a region other than 1714, and a null code in staging that the dictionary join loses."""
+    sf, staged_long = "/root/testdata/sf0.001", star.staged_long
+    columns = "dataset_id int, geo_code bigint, geo_name_raw string, year int, value double"
+    bad = spark.createDataFrame([(226, 1718, "b", None, 1.0), (223, None, "a", 2011, 1.0)], columns)
+    monkeypatch.setattr(star, "staged_long", lambda *a: staged_long(*a).unionByName(bad))
+    no_223 = seeds.dim_metric(spark).where("dataset_id <> 223")
+    monkeypatch.setattr(star.seeds, "dim_metric", lambda spark: no_223)
+    failed = {(r.table_name, r.column_name) for r in QUERIES["dq_suite_all"](spark, sf).where("not passed").collect()}
+    assert ("mart_region_overview_yearly", "year") in failed
+    assert ("mart_metric_coverage", "year") in failed
+    assert ("stg_sdmx_223_long", "geo_code") in failed
