@@ -12,7 +12,8 @@ a stretch of REACH or more words without marks is cut further, behind the word
 with the smallest hash among each REACH words in a row. Whether a word is one
 depends on the REACH - 1 words to either side, so any 49 words hold the same run
 of several whole pieces wherever they are pasted. Pieces then stand for
-sentences, and a span begins at a piece that has words.
+sentences, a span begins at a piece that has words, and the shortest run that
+ends at each piece is a span, too, so that a passage's last pieces go as well.
 
 Spans travel as 64-bit hashes with id and place, never as text. The hash table
 is a plain aggregate, combined before the shuffle; a passage in a third of all
@@ -85,20 +86,33 @@ def pieces(text: str | None) -> list[str]:
 
 
 def spans(parts: list[str], words: int = WORDS, passages: bool = False) -> list[tuple[int, int, int]]:
-    """start, end and hash of the span from each sentence on, where enough words follow."""
+    """start, end and hash of the span from each sentence on, where enough words follow; of `passages` also to each piece."""
     split = [utf8(p).split() for p in parts]
     lengths, joined = list(map(len, split)), list(map(b" ".join, split))
+
+    def span(start: int, end: int) -> tuple[int, int, int]:
+        key = xxhash.xxh3_64_intdigest(b" ".join(j for j in joined[start:end] if j))
+        return start, end, key - (1 << 64) if key >> 63 else key
+
     out, end, held = [], 0, 0
     for start, n in enumerate(lengths):
-        while held < words or end - start < LEAST:
-            if end == len(parts):
-                return out
+        while end < len(parts) and (held < words or end - start < LEAST):
             held += lengths[end]
             end += 1
+        if held < words or end - start < LEAST:
+            break
         if n or not passages:
-            key = xxhash.xxh3_64_intdigest(b" ".join(j for j in joined[start:end] if j))
-            out.append((start, end, key - (1 << 64) if key >> 63 else key))
+            out.append(span(start, end))
         held -= n
+    if passages:
+        known, start, held = {(a, b) for a, b, _ in out}, 0, 0
+        for end, n in enumerate(lengths, 1):
+            held += n
+            while end - start > LEAST and held - lengths[start] >= words:
+                held -= lengths[start]
+                start += 1
+            if n and lengths[start] and held >= words and end - start >= LEAST and (start, end) not in known:
+                out.append(span(start, end))
     return out
 
 

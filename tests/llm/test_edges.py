@@ -221,6 +221,14 @@ def test_passages_keep_all_text_and_the_first_occurrence(docs_of):
         assert "".join(sentence_spans.pieces(text)) == text
 
 
+def test_the_last_short_sentences_of_a_passage_go(docs_of):
+    passage = f"{plain(4, 20)}. {plain(5, 3)}. {plain(6, 3)}."
+    rows = [(1, passage), (2, f"{plain(7, 5)}. {passage} {plain(8, 5)}."), (3, passage)]
+    got = {r.doc_id: r.text for r in sentence_spans.deduped(docs_of(rows), passages=True).collect()}
+    assert got[1] == passage and got[3] == ""
+    assert got[2].split() == f"{plain(7, 5)}. {plain(8, 5)}.".split()
+
+
 # --- n-gram join ---
 
 
