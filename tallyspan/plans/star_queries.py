@@ -638,12 +638,12 @@ def display_numbers(spark, sf):
 
 @query
 def overview_slice(spark, sf):
-    return reports.scoped(_overview(spark, sf), " 1714 ", 2011, 2014).orderBy("year", "geo_code")
+    return reports.scoped(_overview(spark, sf, None), " 1714 ", 2011, 2014).orderBy("year", "geo_code")
 
 
 @query
 def overview_of_geo(spark, sf):
-    return reports.scoped(_overview(spark, sf), None, geo=1714207)
+    return reports.scoped(_overview(spark, sf, None), None, geo=1714207)
 
 
 @query

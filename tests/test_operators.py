@@ -328,3 +328,11 @@ def test_the_suite_sees_every_region_and_rows_without_a_metric(spark, monkeypatc
     assert ("mart_region_overview_yearly", "year") in failed
     assert ("mart_metric_coverage", "year") in failed
     assert ("stg_sdmx_223_long", "geo_code") in failed
+
+
+@pytest.mark.parametrize("name", ["overview_slice", "overview_of_geo"])
+def test_the_scope_of_a_report_is_its_own(spark, monkeypatch, name):
+    """Without the report's filter, other regions are there."""
+    monkeypatch.setattr(reports, "scoped", lambda mart, *a, **k: mart)
+    codes = {str(r.geo_code)[:4] for r in QUERIES[name](spark, "/root/testdata/sf0.001").select("geo_code").distinct().collect()}
+    assert codes > {"1714"}
