@@ -94,6 +94,21 @@ def test_decontamination_against_brute_force(spark):
     assert want
 
 
+def test_decontamination_of_long_documents_against_brute_force(spark):
+    got = {(r.doc_id, r.item_id): r.distance for r in QUERIES["op6_decontamination"](spark, SF).collect()}
+    docs = {d: decontaminate.words_of(t) for d, t in rows_of("documents", "doc_id, text") if len(t or "") >= 1500}
+    want = {}
+    for item_id, text in rows_of("benchmark", "item_id, text"):
+        item = decontaminate.words_of(text)
+        peq = decontaminate.masks(item)
+        for doc_id, body in docs.items():
+            found, _ = decontaminate.distance(peq, len(item), body)
+            if found <= decontaminate.budget(item):
+                want[doc_id, item_id] = found
+    assert docs
+    assert {k: v for k, v in got.items() if k[0] in docs} == want
+
+
 def test_token_counts_against_full_encoding(spark):
     words = token_counts.counter(RANKS, public_tokenizers.PATTERN)
     trees = token_counts.build(spark.read.parquet(f"{SF}/documents.parquet"), RANKS, public_tokenizers.PATTERN).withColumn("edits", token_counts.revision())
