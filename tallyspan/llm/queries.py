@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, main_text, ngram_join, pieces, rules, sentence_spans, sharding, token_counts, toxicity, warc
+from tallyspan.llm import (
+    decontaminate,
+    fingerprints,
+    main_text,
+    merkle,
+    ngram_join,
+    pieces,
+    rules,
+    sentence_spans,
+    sharding,
+    spelling,
+    token_counts,
+    toxicity,
+    warc,
+)
 from tallyspan.llm.common import table
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
@@ -29,8 +43,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentence_spans": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents")),
     "op9_passages": lambda spark, sf: sentence_spans.deduped(table(spark, sf, "documents"), passages=True),
     "op10_ngram_join": lambda spark, sf: ngram_join.similar(table(spark, sf, "documents")),
+    "op11_spelling_variants": lambda spark, sf: spelling.variants(table(spark, sf, "documents")),
+    "op12_merkle_manifest": lambda spark, sf: merkle.verified(table(spark, sf, "documents")),
+    "op13_fingerprints": lambda spark, sf: fingerprints.fingerprinted(table(spark, sf, "documents")),
 }
 
+
+def _crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of an expression in SQL, bit by bit."""
+    byte = f"('0x' || substr(hex(encode({text})), (k // 8) * 2 + 1, 2))::BIGINT"
+    step = f"CASE WHEN k % 8 = 0 THEN xor(c, {byte}) ELSE c END"
+    bits = f"list_concat([4294967295::BIGINT], range(0, 8 * octet_length(encode({text}))))"
+    return f"xor(list_reduce({bits}, lambda c, k: xor(({step}) >> 1, 3988292384 * (({step}) & 1))), 4294967295)"
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_LETTERS.upper()}', '{_LETTERS}')"
+
+
+def _one_byte(word: str) -> str:
+    """A word with one byte for each code point, as the distance in SQL counts bytes."""
+    return f"translate({word}, '{''.join(map(chr, range(0xC0, 0x100)))}', '{''.join(chr(c) for c in range(33, 98) if chr(c) != chr(39))}')"
+
+
+def _field(name: str) -> str:
+    return f"coalesce(octet_length(encode({name}::VARCHAR)) || ':' || {name}::VARCHAR, '-')"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """All levels of the trees over the leaves of each grp, in SQL."""
+    return f"""{name} AS (
+            SELECT grp, pos, 0 AS level, digest, count(*) OVER (PARTITION BY grp) AS n FROM {leaves}
+            UNION ALL
+            SELECT grp, pos // {merkle.FAN}, level + 1, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + {merkle.FAN - 1}) // {merkle.FAN}
+            FROM {name} WHERE n > 1 GROUP BY grp, pos // {merkle.FAN}, level)"""
+
+
+def _sides(rows: str, key: str, grp: str, levels: str, first: str) -> str:
+    """What flanks each row's node on every level, as text around a bar."""
+    mine = f"o.pos // ({merkle.FAN} ** level)::BIGINT"
+    return f"""SELECT o.{key}, {first} + level AS step, coalesce(string_agg(digest, '' ORDER BY x.pos) FILTER (x.pos < {mine}), '') || '|'
+                         || coalesce(string_agg(digest, '' ORDER BY x.pos) FILTER (x.pos > {mine}), '') AS side
+                  FROM {rows} o JOIN {levels} x ON x.n > 1 AND x.grp IS NOT DISTINCT FROM {grp} AND x.pos // {merkle.FAN} = {mine} // {merkle.FAN} GROUP BY ALL"""
+
+
 #: Near copies among the rows of {docs}: every pair of different n-gram sets that share an n-gram, compared.
 GROUPS = f"""
     WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, * FROM {{docs}}),
@@ -103,4 +162,39 @@ SQL: dict[str, str] = {
     "op9_sentence_spans": SPANS.format(docs="documents")
     + "SELECT doc_id, n_sentences, n_removed, text FROM left_over",
     "op10_ngram_join": GROUPS.format(docs="documents") + "SELECT doc_id, class_id, n_links, n_text_links FROM grouped",
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+        d AS (SELECT doc_id, {_lower("run")} AS word, count(*) AS n FROM r WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL),
+        h AS (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || word AS named FROM d),
+        c AS (SELECT *, {_crc32("named")} AS h FROM h),
+        t AS (SELECT CASE WHEN h % {spelling.TYPO_EVERY} = 0 THEN substr(word, 1, h % length(word)) || substr(word, h % length(word) + 2) ELSE word END AS word, n FROM c),
+        v AS (SELECT word, sum(n)::BIGINT AS n FROM t WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+        b AS (SELECT word, n, length(word) AS l, {_one_byte("word")} AS x FROM v),
+        p AS (SELECT a.word AS a, a.n AS a_n, b.word AS b, b.n AS b_n FROM b a JOIN b ON b.l = a.l AND a.word < b.word WHERE levenshtein(a.x, b.x) = 1
+              UNION ALL SELECT a.word, a.n, b.word, b.n FROM b a JOIN b ON b.l = a.l + 1 WHERE levenshtein(a.x, b.x) = 1),
+        both_ways AS (SELECT a AS word, b AS near, b_n AS near_n FROM p UNION ALL SELECT b, a, a_n FROM p),
+        best AS (SELECT word, count(*) AS n_near, max(near_n) AS top, first(near ORDER BY near_n DESC, encode(near)) AS near FROM both_ways GROUP BY word),
+        f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= {spelling.RATIO} * v.n THEN near END AS form,
+                     CASE WHEN top >= {spelling.RATIO} * v.n THEN top END AS form_n FROM v LEFT JOIN best USING (word)),
+        chain AS (SELECT word, word AS last, 0 AS steps FROM f UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN f ON f.word = c.last WHERE f.form IS NOT NULL),
+        ends AS (SELECT word, arg_max(last, steps) AS root FROM chain GROUP BY word)
+        SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM f JOIN ends USING (word)""",
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE d AS (SELECT *, doc_id::VARCHAR AS dec, CASE WHEN {_crc32("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 AND doc_id IS NOT NULL
+                             THEN {_lower("text")} ELSE text END AS later FROM documents),
+        l AS (SELECT doc_id, lang, sha256({" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+                     sha256({" || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "later"))}) AS found FROM d),
+        o AS (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+        leaves AS (SELECT lang AS grp, pos, leaf AS digest FROM o),
+        {_levels("t", "leaves")},
+        subs AS (SELECT grp AS lang, digest, row_number() OVER (ORDER BY encode(grp) NULLS FIRST) - 1 AS pos FROM t WHERE n = 1),
+        tops AS (SELECT 0 AS grp, pos, digest FROM subs),
+        {_levels("u", "tops")},
+        steps AS ({_sides("o", "rid", "o.lang", "t", "0")} UNION ALL
+                  {_sides("(SELECT o.rid, subs.pos FROM o JOIN subs ON o.lang IS NOT DISTINCT FROM subs.lang)", "rid", "0", "u", "1000")}),
+        paths AS (SELECT rid, list(side ORDER BY step) AS path FROM steps GROUP BY rid)
+        SELECT o.doc_id, o.leaf, subs.digest AS subroot, u.digest AS root, sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+               list_reduce(list_concat([o.found], coalesce(path, [])), lambda node, s: sha256(split_part(s, '|', 1) || node || split_part(s, '|', 2))) AS folded_root,
+               folded_root = u.digest AS verified
+        FROM o JOIN subs ON o.lang IS NOT DISTINCT FROM subs.lang JOIN u ON u.n = 1 LEFT JOIN paths USING (rid)""",
 }
