@@ -284,6 +284,16 @@ SQL: dict[str, str] = {
           p_partkey || 'x' AS found, 'code' AS reason FROM p WHERE p_partkey % 10 = 0
         UNION ALL SELECT 223, CAST(p_partkey AS VARCHAR), name, 2011, p_type, 'cell' FROM p
         WHERE p_partkey % 10 <> 0 AND TRY_CAST(p_type AS DOUBLE) IS NULL AND p_type IS NOT NULL""",
+    "csv_line_breaks": """WITH p AS (SELECT *, p_name || chr(10) || '"second", line' AS name FROM part),
+        rows AS (SELECT 223 AS dataset_id, * FROM p WHERE p_partkey % 10 <> 0 UNION ALL SELECT 224, * FROM p)
+        SELECT dataset_id, CAST(p_partkey AS BIGINT) AS geo_code, name AS geo_name_raw, 2010 AS year, CAST(p_size AS DOUBLE) AS value FROM rows
+        UNION ALL SELECT dataset_id, p_partkey, name, 2011, TRY_CAST(p_type AS DOUBLE) FROM rows WHERE TRY_CAST(p_type AS DOUBLE) IS NOT NULL""",
+    "raw_rough_tables": """WITH p AS (SELECT *, p_name || chr(10) || '"second", line' AS name FROM part)
+        SELECT 'raw_rough.sdmx_data_223' AS table_name, 'string' AS code_type, p_partkey || CASE WHEN p_partkey % 10 = 0 THEN 'x' ELSE '' END AS code,
+          name, CAST(p_size AS VARCHAR) AS y2010, p_type AS y2011 FROM p
+        UNION ALL SELECT 'raw_rough.sdmx_data_224', 'bigint', CAST(p_partkey AS VARCHAR), name, CAST(p_size AS VARCHAR), p_type FROM p""",
+    "manifest_records": """SELECT CAST(page_id AS VARCHAR) AS dataset_id, url, 'page_' || page_id || '.html' AS filename, '' AS title_uz,
+        '' AS metric_key, '' AS periodicity, 'line one of ' || page_id || ';' || chr(10) || '"line two", with, commas' AS notes FROM pages""",
     "csv_extracts_to_atomic": f"WITH {ATOMIC} SELECT {_atomic_columns} FROM atomic",
     "raw_source_tables": f"""WITH {LONG} SELECT 'raw.sdmx_data_' || dataset_id AS table_name, geo_code AS code,
         geo_name_raw AS klassifikator, {", ".join(f"max(value) FILTER (WHERE year = {y}) AS y{y}" for y in YEARS)}

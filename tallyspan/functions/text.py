@@ -16,6 +16,16 @@ def strip_quotes(c: str | Column) -> Column:
     return F.btrim(F.btrim(c, F.lit(WHITESPACE)), F.lit('"'))
 
 
+def code_number(c: str) -> Column:
+    """Text as a long, blanks around it ignored; null where it is none."""
+    return F.btrim(F.col(c).cast("string")).try_cast("bigint")
+
+
+def is_bad_code(c: str) -> Column:
+    """Whether a filled cell is no whole number."""
+    return F.coalesce((F.btrim(F.col(c).cast("string")) != "") & code_number(c).isNull(), F.lit(False))
+
+
 def first_match(c: str | Column, patterns: Sequence[tuple[str, str]], otherwise: str) -> Column:
     """Label of the first pattern found in the text, case-insensitively.
 

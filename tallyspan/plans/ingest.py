@@ -20,7 +20,7 @@ from tallyspan.plans.warehouse import (
 )
 from tallyspan.session import new_shared_path
 from tallyspan.sources import seeds
-from tallyspan.sources.wide_csv import Group, audited_groups, header_groups, scan_group
+from tallyspan.sources.wide_csv import Group, audited_groups, header_groups, scan
 
 REJECTS = "dataset_id int, code string, geo_name_raw string, year int, found string, reason string"
 
@@ -49,21 +49,20 @@ def scan_audited(
     years: Sequence[str] = YEARS,
     first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
     skip: Collection[int] = fv.UNSTAGED_DATASETS,
+    sources: Mapping[int, str] | None = None,
 ) -> DataFrame:
-    """:func:`scan_staging` over the readable files of audit records."""
-    return _staged(spark, audited_groups(records), years, first_years, skip)
+    """:func:`scan_staging` over the readable files of audit records; ``sources`` spares scans of folders that hold several datasets."""
+    return _staged(spark, audited_groups(spark, records, sources), years, first_years, skip)
 
 
 def _staged(
     spark: SparkSession,
-    groups: Mapping[Group, list[str]],
+    groups: Sequence[Group],
     years: Sequence[str],
     first_years: Mapping[int, int],
     skip: Collection[int],
 ) -> DataFrame:
-    staged = []
-    for (header, multi_line), paths in groups.items():
-        staged.append(staging_long(scan_group(spark, header, paths, multi_line=multi_line), years))
+    staged = [staging_long(scan(spark, group), years) for group in groups]
     if not staged:  # no file holds a header
         return spark.createDataFrame([], "dataset_id int, geo_code bigint, geo_name_raw string, year int, value double")
     return _in_build(union_sources(staged), first_years, skip).select(*STAGING_COLUMNS)
@@ -85,7 +84,7 @@ def scan_rejected(
 ) -> DataFrame:
     """What the scan with the same arguments leaves out, and why."""
     groups = header_groups(spark, {i: path for i, path in sources.items() if i not in skip})
-    found = [rejects(scan_group(spark, h, paths, multi_line=m), years) for (h, m), paths in groups.items()]
+    found = [rejects(scan(spark, group), years) for group in groups]
     if not found:
         return spark.createDataFrame([], REJECTS)
     return _in_build(union_sources(found), first_years, skip)
@@ -93,7 +92,7 @@ def scan_rejected(
 
 def unread_years(spark: SparkSession, sources: Mapping[int, str], years: Sequence[str] = YEARS) -> list[str]:
     """Year columns that files hold and a build over `years` does not read."""
-    headers = {c for header, _ in header_groups(spark, sources) for c in header}
+    headers = {c for group in header_groups(spark, sources) for c in group.header}
     return sorted(c for c in headers if len(c) == 4 and c.isdigit() and c not in years)
 
 

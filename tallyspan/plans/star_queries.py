@@ -143,20 +143,47 @@ def csv_extracts_to_atomic(spark, sf):
     return ingest.build_atomic(spark, _written_extracts(spark, sf)).drop("region_code")
 
 
-@query
-def csv_rejects(spark, sf):
-    """What a scan leaves out of parts written as an extract with bad codes, text cells and names over two lines."""
+def _rough_extracts(spark: SparkSession, sf: str) -> dict[int, str]:
+    """Parts as an extract with bad codes, text cells and names over two lines, and one with good codes."""
     code = F.col("p_partkey").cast("string")
-    wide = star.read_table(spark, sf, "part").select(
-        F.lit(223).alias("dataset_id"),
-        F.when(F.col("p_partkey") % 10 == 0, F.concat(code, F.lit("x"))).otherwise(code).alias("Code"),
-        F.concat("p_name", F.lit('\n"second", line')).alias("Klassifikator"),
-        F.col("p_size").cast("string").alias("2010"),
-        F.col("p_type").alias("2011"),
+    part = star.read_table(spark, sf, "part")
+    bad = F.when(F.col("p_partkey") % 10 == 0, F.concat(code, F.lit("x"))).otherwise(code)
+    path = new_shared_path(spark, "rough-extracts")
+    wide_csv.write_wide(
+        part.select(
+            F.explode(F.array(F.struct(F.lit(223).alias("dataset_id"), bad.alias("Code")), F.struct(F.lit(224).alias("dataset_id"), code.alias("Code")))).alias("row"),
+            F.concat("p_name", F.lit('\n"second", line')).alias("Klassifikator"),
+            F.col("p_size").cast("string").alias("2010"),
+            F.col("p_type").alias("2011"),
+        ).select("row.*", "Klassifikator", "2010", "2011"),
+        path,
     )
-    path = new_shared_path(spark, "bad-extracts")
-    wide_csv.write_wide(wide, path)
-    return ingest.scan_rejected(spark, wide_csv.registry(path, [223], wide_csv.WRITTEN_NAMING))
+    return wide_csv.registry(path, [223, 224], wide_csv.WRITTEN_NAMING)
+
+
+@query
+def csv_rejects(spark, sf):
+    """What a scan leaves out of a rough extract."""
+    return ingest.scan_rejected(spark, {223: _rough_extracts(spark, sf)[223]})
+
+
+@query
+def csv_line_breaks(spark, sf):
+    """What a scan reads of rough extracts, names over two lines kept."""
+    return ingest.scan_staging(spark, _rough_extracts(spark, sf))
+
+
+@query
+def raw_rough_tables(spark, sf):
+    """Raw tables over rough extracts: text codes where one is no number, else numbers."""
+    names = catalog.register_sources(spark, _rough_extracts(spark, sf), "raw_rough", new_shared_path(spark, "raw-schema"))
+    return enrich.union_sources(
+        spark.table(name).select(
+            F.lit(name).alias("table_name"), F.lit(dict(spark.table(name).dtypes)["Code"]).alias("code_type"),
+            F.col("Code").cast("string").alias("code"), F.col("Klassifikator").alias("name"), F.col("2010").alias("y2010"), F.col("2011").alias("y2011"),
+        )
+        for name in names
+    )
 
 
 @query
@@ -189,6 +216,18 @@ def manifest_rows(spark, sf):
     return manifest.read_manifest(spark, path)
 
 
+@query
+def manifest_records(spark, sf):
+    """A manifest whose notes hold line breaks, quotes and delimiters."""
+    pages = star.read_table(spark, sf, "pages")
+    path = new_shared_path(spark, "manifest")
+    note = F.concat(F.lit("line one of "), F.col("page_id"), F.lit(';\n"line two", with, commas'))
+    pages.select(
+        F.col("page_id").alias("dataset_id"), "url", F.format_string("page_%d.html", F.col("page_id")).alias("filename"), note.alias("notes"),
+    ).write.csv(path, header=True, escape='"')
+    return manifest.read_manifest(spark, path)
+
+
 def _extract_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Audit of the written extracts against a manifest of all catalogued datasets."""
     landed = list(_written_extracts(spark, sf).values())

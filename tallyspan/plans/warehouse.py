@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.functions.measures import balance, missing_flag, parts_diff, ratio, share
+from tallyspan.functions.text import code_number, is_bad_code
 from tallyspan.operators import dimension, enrich, reshape, scope, summarise
 from tallyspan.sources import seeds
 from tallyspan.sources.wide_csv import BROKEN
@@ -70,7 +71,7 @@ def rejects(wide: DataFrame, years: Sequence[str], code: str = "Code", name: str
         F.col(name).alias("geo_name_raw"),
         F.lit(None).cast("int").alias("year"),
         F.when(_is_broken(wide), F.col(BROKEN) if BROKEN in wide.columns else F.lit(None)).otherwise(text).alias("found"),
-        F.when(_is_broken(wide), F.lit("fields")).when(_is_bad_code(code), F.lit("code")).alias("reason"),
+        F.when(_is_broken(wide), F.lit("fields")).when(is_bad_code(code), F.lit("code")).alias("reason"),
     ).where("reason is not null")
     cells = _raw_cells(wide, years, None, code, name).where(_is_bad())
     return rows.union(cells.select("dataset_id", F.col("geo_code").cast("string"), "geo_name_raw", "year", "cell", F.lit("cell")))
@@ -90,26 +91,18 @@ def _is_bad(cell: str = "cell") -> Column:
     return (F.btrim(F.col(cell)) != "") & _number(cell).isNull()
 
 
-def _code(code: str) -> Column:
-    return F.btrim(F.col(code).cast("string")).try_cast("bigint")
-
-
-def _is_bad_code(code: str) -> Column:
-    return F.coalesce((F.btrim(F.col(code).cast("string")) != "") & _code(code).isNull(), F.lit(False))
-
-
 def _is_broken(wide: DataFrame) -> Column:
     return F.col(BROKEN).isNotNull() if BROKEN in wide.columns else F.lit(False)
 
 
 def _raw_cells(wide: DataFrame, years: Sequence[str], dataset_id: int | None, code: str, name: str) -> DataFrame:
     tagged = wide if dataset_id is None else wide.withColumn("dataset_id", F.lit(dataset_id))
-    tagged = tagged.where(~_is_broken(tagged) & ~_is_bad_code(code))
+    tagged = tagged.where(~_is_broken(tagged) & ~is_bad_code(code))
     present = scope.existing(tagged, list(years))
     long = reshape.unpivot_long(tagged, ["dataset_id", code, name], present, "year", "cell", "string")
     return long.select(
         F.col("dataset_id").cast("int").alias("dataset_id"),
-        _code(code).alias("geo_code"),
+        code_number(code).alias("geo_code"),
         F.col(name).alias("geo_name_raw"),
         F.col("year").cast("int").alias("year"),
         "cell",

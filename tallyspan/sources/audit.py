@@ -8,6 +8,7 @@ import hashlib
 import io
 from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -15,9 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.operators.summarise import status_counts
+from tallyspan.session import new_shared_path
+from tallyspan.sources.wide_csv import LINES, RECORDS, WHOLE
 
 CHUNK = 1 << 20
-_PROFILE = "path string, bytes bigint, modified_at timestamp, digest string, rows bigint, cols int, columns array<string>, profile_error string"
+#: Names that a listing task holds at once.
+NAMES = 1000
+_PROFILE = "path string, bytes bigint, modified_at timestamp, digest string, rows bigint, cols int, columns array<string>, kind string, profile_error string"
 
 
 class _Digested(io.RawIOBase):
@@ -37,11 +42,25 @@ class _Digested(io.RawIOBase):
         return len(part)
 
 
-def _shape(lines: io.TextIOBase) -> tuple[int | None, int | None, list[str] | None, str | None]:
-    """Records, columns, their names and, where it is no table, why. A quoted line break is part of its record."""
-    header, n, widest = None, 0, 0
+class _Lines:
+    """Lines of a stream; remembers whether one ended with a bare carriage return."""
+
+    def __init__(self, stream: io.TextIOBase):
+        self.stream, self.bare = stream, False
+
+    def __iter__(self) -> Iterator[str]:
+        for line in self.stream:
+            self.bare = self.bare or line.endswith("\r")
+            yield line
+
+
+def _shape(stream: io.TextIOBase) -> tuple[int | None, int | None, list[str] | None, str | None, str | None]:
+    """Records, columns, their names, the way to read them and, where it is no table, why. A quoted line break is part of its record."""
+    lines, header, n, widest, seen = _Lines(stream), None, 0, 0, 0
+    reader = csv.reader(lines, strict=False)
     try:
-        for record in csv.reader(lines, strict=False):
+        for record in reader:
+            seen += 1
             if len(record) < 2 and not "".join(record).strip():
                 continue
             if header is None:
@@ -50,12 +69,12 @@ def _shape(lines: io.TextIOBase) -> tuple[int | None, int | None, list[str] | No
             n += 1
             widest = max(widest, len(record))
     except csv.Error as error:
-        return None, None, None, str(error)
+        return None, None, None, None, str(error)
     if header is None:
-        return None, None, None, "no columns to parse"
+        return None, None, None, None, "no columns to parse"
     if widest > len(header):
-        return None, None, None, f"expected {len(header)} fields, found {widest}"
-    return n, len(header), header, None
+        return None, None, None, None, f"expected {len(header)} fields, found {widest}"
+    return n, len(header), header, WHOLE if lines.bare else RECORDS if reader.line_num > seen else LINES, None
 
 
 def _profiled(path: str) -> tuple:
@@ -72,56 +91,103 @@ def _profiled(path: str) -> tuple:
     return raw.size, raw.sha.hexdigest(), *found
 
 
-def _files_under(root: str, pattern: str) -> Iterator[tuple[str, datetime | None]]:
-    """Every matching file under a folder, as scans name it, with its time."""
-    where, name = fs.FileSystem.from_uri(root)
+def _plain(path: str) -> str:
+    """A path as the file systems take it, from one as scans name it."""
+    return path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def _listed(root: str) -> Iterator[tuple[str, bool, datetime | None]]:
+    """path, whether it is a folder, and time of what lies directly in a folder, or of the file itself; nothing where there is neither.
+
+    A folder that vanished after it was listed is empty.
+    """
+    where, name = fs.FileSystem.from_uri(_plain(root))
     scheme = root.split("://", 1)[0] + "://" + root.split("://", 1)[1].partition("/")[0] if "://" in root else "file:"
     one = where.get_file_info(name)
-    found = [one] if one.is_file else where.get_file_info(fs.FileSelector(name, recursive=True, allow_not_found=True))
+    found = [one] if one.is_file else where.get_file_info(fs.FileSelector(name, allow_not_found=True))
     for info in found:
-        if info.is_file and fnmatch.fnmatch(info.base_name, pattern) and not info.base_name.startswith(("_", ".")):
-            yield f"{scheme}{info.path}", info.mtime
+        yield f"{scheme}{info.path}", info.type == fs.FileType.Directory, info.mtime
 
 
-def profile_files(spark: SparkSession, paths: str | list[str], glob: str = "*", tasks: int | None = None) -> DataFrame:
-    """Every file's digest and shape: ``path, bytes, modified_at, digest, rows, cols, columns, profile_error``.
+def list_files(spark: SparkSession, roots: list[str], glob: str = "*", tasks: int = 32) -> DataFrame:
+    """path, modified_at of every matching file under the roots.
 
-    The digest is the SHA-256 of the bytes for every size. A task lists the
-    roots, other tasks stream one file after the other, ``tasks`` of them at
-    once; no list of files passes the driver. A file that cannot be a table
-    gets an error text, not a failure. Paths are plain, not percent-encoded.
+    Level by level: each round lists the folders of one level in many tasks, in
+    batches of at most NAMES names, into a table, until a level has no folders.
+    The driver holds the roots, no more.
     """
-    roots = [(p,) for p in ([paths] if isinstance(paths, str) else paths)]
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            kinds = [pa.string(), pa.bool_(), pa.timestamp("us", "UTC")]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["path", "folder", "modified_at"])
+
         for batch in batches:
             for root in batch.column(0).to_pylist():
-                found = list(_files_under(root.removeprefix("file:") if root.startswith("file:/") and not root.startswith("file://") else root, glob))
-                names = ["path", "modified_at"]
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.string()), pa.array([t for _, t in found], pa.timestamp("us", "UTC"))], names)
+                held = []
+                for row in _listed(root):
+                    held.append(row)
+                    if len(held) == NAMES:
+                        yield batch_of(held)
+                        held = []
+                if held:
+                    yield batch_of(held)
+
+    schema = "path string, folder boolean, modified_at timestamp"
+    folders, levels = spark.createDataFrame([(r,) for r in dict.fromkeys(roots)], "path string"), []
+    while True:
+        out = new_shared_path(spark, "listing")
+        folders.repartition(tasks, "path").mapInArrow(listed, schema).write.parquet(out)
+        levels.append(spark.read.schema(schema).parquet(out))
+        folders = levels[-1].where("folder").select("path").distinct()
+        if not folders.take(1):
+            break
+    found = reduce(DataFrame.union, levels).where("not folder").select("path", "modified_at")
+    pattern = "(?s)^" + fnmatch.translate(glob).removeprefix("(?s:").rpartition(")")[0] + "$"
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.where(name.rlike(pattern) & ~name.rlike("^[_.]")).groupBy("path").agg(F.max("modified_at").alias("modified_at"))
+
+
+def profile_files(spark: SparkSession, paths: str | list[str], glob: str = "*", tasks: int | None = None) -> DataFrame:
+    """Every file's digest and shape: ``path, bytes, modified_at, digest, rows, cols, columns, kind, profile_error``.
+
+    The digest is the SHA-256 of the bytes for every size. Tasks list the roots
+    level by level, other tasks stream one file after the other, ``tasks`` of
+    them at once; no list of files passes the driver. ``kind`` is how scans must
+    read the file. Any fault is the file's own: a file that vanishes after it
+    was listed, cannot be read or cannot be a table gets an error text, and the
+    others go on. Paths are plain, not percent-encoded.
+    """
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 30)
         for batch in batches:
             for path, modified in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                size, digest, rows, cols, columns, error = _profiled(path.removeprefix("file:"))
+                try:
+                    size, digest, rows, cols, columns, kind, error = _profiled(_plain(path))
+                except FileNotFoundError:
+                    size, digest, rows, cols, columns, kind, error = *[None] * 6, "vanished"
+                except (OSError, pa.ArrowException) as fault:
+                    size, digest, rows, cols, columns, kind, error = *[None] * 6, f"not readable: {type(fault).__name__}"
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([path]),
                         pa.array([size], pa.int64()),
                         pa.array([modified.as_py()], pa.timestamp("us", "UTC")),
-                        pa.array([digest]),
+                        pa.array([digest], pa.string()),
                         pa.array([rows], pa.int64()),
                         pa.array([cols], pa.int32()),
                         pa.array([columns], pa.list_(pa.string())),
+                        pa.array([kind], pa.string()),
                         pa.array([error], pa.string()),
                     ],
-                    ["path", "bytes", "modified_at", "digest", "rows", "cols", "columns", "profile_error"],
+                    ["path", "bytes", "modified_at", "digest", "rows", "cols", "columns", "kind", "profile_error"],
                 )
 
     width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = spark.createDataFrame(roots, "root string").mapInArrow(listed, "path string, modified_at timestamp")
-    return files.distinct().repartition(width, "path").mapInArrow(profiled, _PROFILE)
+    files = list_files(spark, [paths] if isinstance(paths, str) else paths, glob)
+    return files.repartition(width, "path").mapInArrow(profiled, _PROFILE)
 
 
 def audit(
@@ -135,12 +201,13 @@ def audit(
 
     ``filename`` derives the manifest's file name from ``path``; by default it
     is the last path segment. ``status`` is ``ok``, ``unreadable`` (landed, but
-    no table) or ``missing``.
+    no table), ``missing`` or ``vanished`` (listed, but gone when it was read).
     """
     named = F.element_at(F.split("path", "/"), -1) if filename is None else filename
     found = profile_files(spark, paths, glob).withColumn("filename", named)
     status = (
         F.when(F.col("path").isNull(), F.lit("missing"))
+        .when(F.col("profile_error") == "vanished", F.lit("vanished"))
         .when(F.col("profile_error").isNotNull(), F.lit("unreadable"))
         .otherwise(F.lit("ok"))
     )

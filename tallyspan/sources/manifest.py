@@ -21,13 +21,14 @@ def sniff_delimiter(first_line: str) -> str:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest rows as text, cleaned; absent optional columns are empty text.
 
+    A quoted cell may hold line breaks: rows are records, not lines.
     Raises ValueError without a header row and KeyError without a required
     column.
     """
     first = spark.read.text(path).first()
     if first is None or not first[0].strip():
         raise ValueError(f"manifest {path} has no header row")
-    raw = spark.read.csv(path, header=True, sep=sniff_delimiter(first[0]), escape='"')
+    raw = spark.read.csv(path, header=True, sep=sniff_delimiter(first[0]), escape='"', multiLine=True)
     names = [c.lstrip("\ufeff").strip(WHITESPACE).strip('"') for c in raw.columns]
     missing = sorted(set(REQUIRED) - set(names))
     if missing:

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ def test_headers_from_the_audit_give_the_same_table(spark, extracts, tmp_path):
 
 
 def test_one_scan_per_header(spark, extracts):
-    assert sorted(len(p) for p in wide_csv.header_groups(spark, extracts).values()) == [1, 1, 4]
+    assert sorted(len(g.roots) for g in wide_csv.header_groups(spark, extracts)) == [1, 1, 4]
 
 
 def test_quoted_names_and_bad_cells(spark, extracts):
@@ -277,3 +278,152 @@ def test_rejects_and_years_belong_to_the_build(spark, tmp_path):
     wide = ingest.build_atomic(spark, sources, rejects_path=out, years=["2010", "2025"])
     assert spark.read.parquet(out).count() == 0
     assert {r.year for r in wide.where("dataset_id = 223").collect()} == {2010, 2025}
+
+
+# --- files of many splits, groups, listings --------------------------------------
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few hundred bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def tricky_csv(seed, n=50):
+    """A legal file with line breaks, doubled quotes, blank lines, commas and empty cells in quoted cells."""
+    rng = random.Random(seed)
+    cells = ["plain", '"a\nb"', '"x ""y"" z"', '""', "", '"q,\n\n,r"', '"\n"', '5" pipe', '"ends ""\n"" here"', '"' + "long\n" * rng.randrange(1, 120) + '"', "ü"]
+    lines = ['Code,"Klassi\nfikator",Note,2010\n' if seed % 2 else "Code,Klassifikator,Note,2010\n"]
+    for i in range(n):
+        lines.append(f"{i},{rng.choice(cells)},{rng.choice(cells)},{i / 2}\n")
+        if rng.random() < 0.1:
+            lines.append("\n")
+    return "".join(lines)
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_records_across_splits_are_those_of_a_whole_file(spark, tmp_path, small_splits, seed, ends):
+    path = tmp_path / "sdmx_data_223.csv"
+    path.write_bytes(tricky_csv(seed).replace("\n", ends).encode())
+    (group,) = wide_csv.header_groups(spark, {223: str(path)})
+    assert group.kind == wide_csv.RECORDS and len(group.header) == 4
+    found = wide_csv.scan(spark, group)
+    want = wide_csv.scan_group(spark, group.header, [str(path)], multi_line=True)
+    names = wide_csv.cell_names(group.header)
+    assert rows(found.select(*names)) == rows(want.select(*names))
+    assert wide_csv._lines(spark, [str(path)]).rdd.getNumPartitions() > 5
+
+
+def test_a_file_in_splits_without_breaks_is_read_by_lines(spark, tmp_path, small_splits):
+    path = tmp_path / "sdmx_data_223.csv"
+    path.write_text("Code,Klassifikator,2010\n" + "".join(f'{i},"a, ""b"" 5"" pipe",{i}\n' for i in range(200)) + '7,5" pipe,3\n')
+    (group,) = wide_csv.header_groups(spark, {223: str(path)})
+    assert group.kind == wide_csv.LINES
+    assert wide_csv.scan(spark, group).rdd.getNumPartitions() > 5 and wide_csv.scan(spark, group).count() == 201
+
+
+def test_bare_carriage_returns_are_read_whole(spark, tmp_path):
+    path = tmp_path / "sdmx_data_223.csv"
+    path.write_bytes(b'Code,Klassifikator,2010\r1714,a,1\r1715,"b\rc",2\r')
+    (group,) = wide_csv.header_groups(spark, {223: str(path)})
+    assert (group.kind, group.header) == (wide_csv.WHOLE, ("Code", "Klassifikator", "2010"))
+    assert rows(wide_csv.scan(spark, group).select("Code", "Klassifikator", "2010")) == [("1714", "a", "1"), ("1715", "b\nc", "2")]
+
+
+def test_an_unclosed_quote_takes_the_rest_of_its_file(spark, tmp_path, small_splits):
+    path = tmp_path / "sdmx_data_223.csv"
+    path.write_text("Code,Klassifikator,2010\n1,a,1\n2,\"b,2\n" + "".join(f"{i},c,{i}\n" for i in range(100)))
+    (group,) = wide_csv.header_groups(spark, {223: str(path)})
+    found = wide_csv.scan(spark, group).collect()
+    assert len(found) == 2 and {r.Code for r in found if r[wide_csv.BROKEN] is None} == {"1"}
+
+
+def test_one_source_with_files_of_several_kinds(spark, tmp_path):
+    folder = tmp_path / "source=sdmx_data_223"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Code,Klassifikator,2010\n1,a,1\n")
+    (folder / "b.csv").write_text('Code,Klassifikator,2010\n2,"b\nb",2\n')
+    (folder / "c d.csv").write_text("Code,Klassifikator,2010,2011\n3,c,3,4\n")
+    sources = {223: str(folder)}
+    assert len(wide_csv.header_groups(spark, sources)) == 3
+    staged = ingest.scan_staging(spark, sources)
+    want = [(223, 1, "a", 2010, 1.0), (223, 2, "b\nb", 2010, 2.0), (223, 3, "c", 2010, 3.0), (223, 3, "c", 2011, 4.0)]
+    assert rows(staged) == want
+    records = audit.profile_files(spark, str(tmp_path))
+    assert rows(ingest.scan_audited(spark, records)) == want
+    assert rows(ingest.scan_audited(spark, records, sources=sources)) == want
+
+
+def test_the_plan_does_not_grow_with_the_files(spark, tmp_path, plan):
+    sizes = []
+    for n in (20, 2000):
+        folder = tmp_path / str(n) / "source=sdmx_data_223"
+        folder.mkdir(parents=True)
+        for i in range(n):
+            (folder / f"part-{i}.csv").write_text(f"Code,Klassifikator,2010\n{i},a,1\n")
+        staged = ingest.scan_staging(spark, {223: str(folder)})
+        sizes.append(len(plan(staged)))
+        assert staged.count() == n
+    assert abs(sizes[1] - sizes[0]) < 200
+
+
+def test_listing_goes_level_by_level(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit, "NAMES", 7)
+    want = set()
+    for a in range(3):
+        for b in range(4):
+            folder = tmp_path / "root" / f"a{a}" / f"b {b}" / "c"
+            folder.mkdir(parents=True)
+            for i in range(9):
+                (folder / f"f{i}.csv").write_text("x")
+                want.add(f"file:{folder}/f{i}.csv")
+            (folder / "_skip.csv").write_text("x")
+            (folder / "other.txt").write_text("x")
+    (tmp_path / "root" / "empty").mkdir()
+    roots = [str(tmp_path / "root"), str(tmp_path / "root" / "a0"), str(tmp_path / "nowhere")]
+    found = [r.path for r in audit.list_files(spark, roots, "*.csv").collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_faults_are_rows(spark, tmp_path, monkeypatch):
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    gone = spark.createDataFrame([(f"file:{tmp_path}/good.csv", None), (f"file:{tmp_path}/gone.csv", None), (f"file:{tmp_path}", None)], "path string, modified_at timestamp")
+    monkeypatch.setattr(audit, "list_files", lambda *_: gone)
+    got = {r.path.rsplit("/", 1)[1]: r.profile_error for r in audit.profile_files(spark, "any").collect()}
+    assert got["good.csv"] is None and got["gone.csv"] == "vanished"
+    assert got[tmp_path.name].startswith("not readable")
+    manifest_rows = spark.createDataFrame([("good.csv",), ("gone.csv",), ("never.csv",)], "filename string")
+    assert rows(audit.audit(spark, manifest_rows, "any").select("filename", "status")) == [("gone.csv", "vanished"), ("good.csv", "ok"), ("never.csv", "missing")]
+
+
+def test_manifest_cells_may_hold_line_breaks(spark, tmp_path):
+    path = tmp_path / "manifest.csv"
+    path.write_text('dataset_id,url,filename,notes\n1,u,a.csv,"line one\nline two, ""quoted"""\n2,v,b.csv,n\n')
+    assert rows(manifest.read_manifest(spark, str(path)).select("dataset_id", "notes")) == [("1", 'line one\nline two, "quoted'), ("2", "n")]
+
+
+def test_raw_tables_hold_what_the_files_hold(spark, tmp_path):
+    (tmp_path / "sdmx_data_223.csv").write_text('Code,Klassifikator,Klassifikator_ru,x,y,2010,2013,2025\n1714,"A\nB",,,,1,2,3\n1715,"c ""d""",,,,4,5,6\n')
+    (tmp_path / "sdmx_data_224.csv").write_text("Code,Klassifikator,2010\n17x4,a,1\n1715,b,2\n1716,short\n")
+    (tmp_path / "sdmx_data_225.csv").write_text("")
+    sources = wide_csv.registry(str(tmp_path), [223, 224, 225])
+    names = catalog.register_sources(spark, sources, "raw_held")
+    assert names == ["raw_held.sdmx_data_223", "raw_held.sdmx_data_224"]
+    assert rows(spark.table(names[0]).select("Code", "Klassifikator", "2010", "2013", "2025")) == [(1714, "A\nB", "1", "2", "3"), (1715, 'c "d"', "4", "5", "6")]
+    assert rows(spark.table(names[1])) == [("1715", "b", "2"), ("17x4", "a", "1")]
+
+
+def test_raw_tables_of_differing_files_are_refused(spark, tmp_path):
+    folder = tmp_path / "source=sdmx_data_223"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Code,Klassifikator,2010\n1,a,1\n")
+    (folder / "b.csv").write_text("Code,2010,Klassifikator\n1,1,a\n")
+    with pytest.raises(ValueError, match="differ"):
+        catalog.register_sources(spark, {223: str(folder)}, "raw_differ")
