@@ -295,6 +295,13 @@ SQL: dict[str, str] = {
     "manifest_records": """SELECT CAST(page_id AS VARCHAR) AS dataset_id, url, 'page_' || page_id || '.html' AS filename, '' AS title_uz,
         '' AS metric_key, '' AS periodicity, 'line one of ' || page_id || ';' || chr(10) || '"line two", with, commas' AS notes FROM pages""",
     "csv_extracts_to_atomic": f"WITH {ATOMIC} SELECT {_atomic_columns} FROM atomic",
+    "incremental_rebuild": f"""WITH {ATOMIC} SELECT * REPLACE (CASE WHEN dataset_id = 224 THEN value + 1 ELSE value END AS value)
+        FROM (SELECT {_atomic_columns} FROM atomic) WHERE dataset_id <> 227""",
+    "refreshed_coverage": f"""WITH {ATOMIC} SELECT metric_key, year, CAST(count(*) AS BIGINT) AS rows_cnt,
+        CAST(count(value) AS BIGINT) AS non_null_cnt FROM atomic GROUP BY ALL""",
+    "landed_source_changes": f"""WITH {LONG} SELECT dataset_id, CASE dataset_id WHEN 228 THEN 'new' WHEN 227 THEN 'missing' WHEN 224 THEN 'changed'
+        ELSE 'unchanged' END AS status FROM (SELECT DISTINCT dataset_id FROM long)""",
+    "landed_source_age": f"""WITH {LONG} SELECT DISTINCT dataset_id, CAST(40 AS INTEGER) AS age_days, false AS fresh FROM long""",
     "raw_source_tables": f"""WITH {LONG} SELECT 'raw.sdmx_data_' || dataset_id AS table_name, geo_code AS code,
         geo_name_raw AS klassifikator, {", ".join(f"max(value) FILTER (WHERE year = {y}) AS y{y}" for y in YEARS)}
         FROM long GROUP BY 1, 2, 3""",

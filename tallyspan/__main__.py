@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     build.add_argument("--all-regions", action="store_true", help="marts over every geography")
     build.add_argument("--years", nargs=2, type=int, default=[fv.FIRST_YEAR, fv.LAST_YEAR], metavar=("FIRST", "LAST"))
     build.add_argument("--ids", type=int, nargs="*", default=fv.STAGED_DATASETS)
+    build.add_argument("--changed", action="store_true", help="only what changed since the last such build")
     test = commands.add_parser("test", help="declared data tests")
     test.add_argument("--out", required=True)
     export = commands.add_parser("export", help="marts to CSV")
@@ -41,11 +42,15 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tallyspan").getOrCreate()
     if args.command == "build":
         sources, years = registry(args.raw, args.ids), [str(y) for y in range(args.years[0], args.years[1] + 1)]
-        jobs.build_warehouse(spark, sources, args.out, None if args.all_regions else args.prefix, years)
+        prefix = None if args.all_regions else args.prefix
+        if args.changed:
+            print("written:", *jobs.refresh_warehouse(spark, sources, args.out, prefix, years=years)[0])
+        else:
+            jobs.build_warehouse(spark, sources, args.out, prefix, years)
         if unread := ingest.unread_years(spark, sources, years):
             print("year columns not read:", *unread)
     elif args.command == "test":
-        jobs.test_warehouse(jobs.load_warehouse(spark, args.out)).orderBy("passed", "table_name").show(100, False)
+        jobs.test_stored(spark, args.out).orderBy("passed", "table_name").show(100, False)
     elif args.command == "export":
         jobs.load_warehouse(spark, args.out)
         jobs.export_marts(spark, args.csv).show(truncate=False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyspan.functions.measures import parts_diff, within
@@ -83,6 +83,48 @@ def _row_tests(frame: DataFrame, rules: Sequence[tuple[Rule, str]]) -> DataFrame
     return frame.agg(*aggs).selectExpr(_report_rows(rows))
 
 
+ROW_TESTS = ("not_null", "accepted_values")
+REPORT = "table_name string, column_name string, test string, n_rows bigint, n_failed bigint, passed boolean"
+
+
+@dataclass
+class Observed:
+    """Row tests of a frame that are counted while it is written.
+
+    rules: each with the SQL condition of the rows that it is about. Use
+    ``frame`` in the write, ``report`` afterwards. The counts are exact where the
+    observed rows are those that the write's tasks put out; a task that is run
+    again counts once.
+    """
+
+    frame: DataFrame
+    rules: list[tuple[Rule, str]]
+    seen: Observation = field(default_factory=Observation)
+
+    def __post_init__(self) -> None:
+        self.wheres = list(dict.fromkeys(where for _, where in self.rules))
+        counts = [F.expr(f"count_if({where})").alias(f"n{i}") for i, where in enumerate(self.wheres)]
+        counts += [F.expr(f"count_if(({where}) and ({_failure(rule)}))").alias(f"f{i}") for i, (rule, where) in enumerate(self.rules)]
+        if self.rules:
+            self.frame = self.frame.observe(self.seen, *counts)
+
+    def report(self) -> list[tuple]:
+        """Report rows, after the frame was written."""
+        if not self.rules:
+            return []
+        found = self.seen.get
+        out = []
+        for i, (rule, where) in enumerate(self.rules):
+            n, failed = found[f"n{self.wheres.index(where)}"], found[f"f{i}"]
+            out.append((rule.table, rule.column, rule.test, n, failed, failed == 0))
+        return out
+
+
+def row_rules(rules: Sequence[Rule], tables: Mapping[str, str]) -> list[tuple[Rule, str]]:
+    """The row tests of the tables that a frame holds, by table name with the condition that slices it out of the frame."""
+    return [(rule, tables[rule.table]) for rule in rules if rule.test in ROW_TESTS and rule.table in tables]
+
+
 def _unique_test(frame: DataFrame, rule: Rule) -> DataFrame:
     """Failures are the keys that occur more than once; NULL keys are ignored."""
     per_key = frame.groupBy(F.col(rule.column).alias("_k")).agg(F.expr("count(1) as _c"))
@@ -123,7 +165,7 @@ def run_rules(tables: Mapping[str, DataFrame | Slice], rules: Sequence[Rule]) ->
     reports: list[DataFrame] = []
     for rule in rules:
         table = tables[rule.table]
-        if rule.test in ("not_null", "accepted_values"):
+        if rule.test in ROW_TESTS:
             frame, where = (table.frame, table.where) if isinstance(table, Slice) else (table, "true")
             by_frame.setdefault(id(frame), (frame, []))[1].append((rule, where))
         elif rule.test == "unique":

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyspan import fixed_values as fv
 from tallyspan.functions.measures import missing_flag
 from tallyspan.operators import scope, summarise
-from tallyspan.operators.quality import Check, Rule, Slice, check_table, contract, reconcile
+from tallyspan.operators.quality import (
+    REPORT,
+    Check,
+    Observed,
+    Rule,
+    Slice,
+    check_table,
+    contract,
+    reconcile,
+    row_rules,
+    run_rules,
+    sql_literal,
+)
 
 KEYS = ["geo_code", "year"]
 ATOMIC_GRAIN = ["geo_code", "year", "metric_key", "sex", "settlement_type"]
@@ -120,6 +132,38 @@ def tested_tables(models: Mapping[str, DataFrame], staging: DataFrame | None = N
     return {**staged, **models}
 
 
+#: Tables that are row slices of the stored atomic table.
+FACTS = {
+    "fact_population_yearly": f"metric_group = {sql_literal(fv.STOCK_GROUP)}",
+    "fact_demography_flows_yearly": f"metric_group in ({', '.join(map(sql_literal, fv.FLOW_GROUPS))})",
+}
+
+
+def observed_staging(staging: DataFrame) -> Observed:
+    """The row tests of all staging tables, counted on the staged rows before any lookup."""
+    return Observed(staging, row_rules(RULES, {f"stg_sdmx_{i}_long": f"dataset_id = {i}" for i in TESTED_STAGING}))
+
+
+def observed_atomic(atomic: DataFrame) -> Observed:
+    """The row tests of the atomic table and of the facts, its slices."""
+    return Observed(atomic, row_rules(RULES, {"int_demography_atomic": "true", **FACTS}))
+
+
+def observed_model(name: str, model: DataFrame) -> Observed:
+    """The row tests of one written model."""
+    return Observed(model, row_rules(RULES, {name: "true"}))
+
+
+def finished_report(spark: SparkSession, models: Mapping[str, DataFrame], written: Sequence[tuple]) -> DataFrame:
+    """The whole report: what was counted while the models were written, and the tests that need a scan of their own.
+
+    Scanned are keys (unique, relationships) and the few rows of the seeds.
+    """
+    done = {tuple(row[:3]) for row in written}
+    rest = [r for r in RULES if (r.table, r.column, r.test) not in done]
+    return spark.createDataFrame(list(written), REPORT).union(run_rules(models, rest))
+
+
 def duplicate_grain(atomic: DataFrame) -> DataFrame:
     """Rows of the atomic table that share a grain, which a max-pivot would hide."""
     return summarise.duplicate_keys(atomic, ATOMIC_GRAIN)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.operators.enrich import union_sources
+from tallyspan.plans import checks
 from tallyspan.plans.warehouse import (
     STAGING_COLUMNS,
     YEARS,
@@ -20,6 +21,7 @@ from tallyspan.plans.warehouse import (
 )
 from tallyspan.session import new_shared_path
 from tallyspan.sources import seeds
+from tallyspan.sources.replace import replaced
 from tallyspan.sources.wide_csv import Group, audited_groups, header_groups, scan
 
 REJECTS = "dataset_id int, code string, geo_name_raw string, year int, found string, reason string"
@@ -90,6 +92,24 @@ def scan_rejected(
     return _in_build(union_sources(found), first_years, skip)
 
 
+def rejected_audited(
+    spark: SparkSession,
+    records: DataFrame,
+    years: Sequence[str] = YEARS,
+    first_years: Mapping[int, int] = fv.DATASET_FIRST_YEAR,
+    skip: Collection[int] = fv.UNSTAGED_DATASETS,
+    sources: Mapping[int, str] | None = None,
+) -> DataFrame:
+    """:func:`scan_rejected` over the readable files of audit records, and one row for each file that could not be read."""
+    found = [rejects(scan(spark, group), years) for group in audited_groups(spark, records, sources)]
+    file_id = F.regexp_extract("path", fv.RAW_FILE_ID_PATTERN, 1).try_cast("int")
+    nothing = [F.lit(None).cast("string").alias("code"), F.lit(None).cast("string").alias("geo_name_raw"), F.lit(None).cast("int").alias("year")]
+    faults = records.where("path is not null and profile_error is not null").select(
+        file_id.alias("dataset_id"), *nothing, F.col("path").alias("found"), F.concat(F.lit("file: "), F.col("profile_error")).alias("reason")
+    )
+    return _in_build(union_sources([*found, faults]), first_years, skip)
+
+
 def unread_years(spark: SparkSession, sources: Mapping[int, str], years: Sequence[str] = YEARS) -> list[str]:
     """Year columns that files hold and a build over `years` does not read."""
     headers = {c for group in header_groups(spark, sources) for c in group.header}
@@ -114,7 +134,16 @@ def build_atomic(
     """
     path = path or new_shared_path(spark, "atomic")
     dictionary = seeds.dim_metric(spark) if dictionary is None else dictionary
-    write_atomic(demography_atomic(scan_staging(spark, sources, years, first_years, skip), dictionary), path)
+    store_atomic(spark, scan_staging(spark, sources, years, first_years, skip), dictionary, path)
     if rejects_path:
-        scan_rejected(spark, sources, years, first_years, skip).write.mode("overwrite").parquet(rejects_path)
+        left = scan_rejected(spark, sources, years, first_years, skip)
+        replaced(spark, rejects_path, lambda staged: left.write.parquet(staged))
     return read_atomic(spark, path)
+
+
+def store_atomic(spark: SparkSession, staging: DataFrame, dictionary: DataFrame, path: str) -> list[tuple]:
+    """Enrich staged rows and store them in place of an earlier table; returns the report of all row tests on the way."""
+    staged = checks.observed_staging(staging)
+    rows = checks.observed_atomic(demography_atomic(staged.frame, dictionary))
+    replaced(spark, path, lambda where: write_atomic(rows.frame, where))
+    return [*staged.report(), *rows.report()]

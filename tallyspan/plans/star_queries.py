@@ -12,7 +12,7 @@ from tallyspan.functions import measures as ms
 from tallyspan.functions import text as tx
 from tallyspan.operators import dimension, enrich, quality, reshape, scope, summarise
 from tallyspan.operators.quality import Rule
-from tallyspan.plans import checks, ingest, reports, star
+from tallyspan.plans import checks, ingest, refresh, reports, star
 from tallyspan.plans import warehouse as wh
 from tallyspan.session import new_shared_path
 from tallyspan.sources import audit as fa
@@ -575,16 +575,13 @@ def dq_orphan_keys(spark, sf):
 
 
 def _suite(spark: SparkSession, sf: str, prefix: str | None) -> DataFrame:
-    """All declared tests of the warehouse, over the stored tables; the marts within a prefix."""
-    atomic, stored = _stored_atomic(spark, sf), new_shared_path(spark, "models")
-    wh.dim_geo(atomic, seeds.geo_override(spark)).write.parquet(f"{stored}/dim_geo")
-    models = wh.build_models(spark, atomic, prefix, spark.read.parquet(f"{stored}/dim_geo"))
-    for name in wh.MARTS:
-        models[name].write.parquet(f"{stored}/{name}")
-        models[name] = spark.read.parquet(f"{stored}/{name}")
-    star.staged_long(spark, sf).write.parquet(f"{stored}/staging")
-    staging = spark.read.parquet(f"{stored}/staging")
-    return quality.run_rules(checks.tested_tables(models, staging), checks.RULES)
+    """All declared tests of the warehouse: row tests while the tables are written, the others over the stored tables."""
+    root = new_shared_path(spark, "models")
+    tests = {row[:3]: row for row in ingest.store_atomic(spark, star.staged_long(spark, sf), seeds.dim_metric(spark), f"{root}/atomic")}
+    atomic = wh.read_atomic(spark, f"{root}/atomic")
+    tests |= refresh.write_models(spark, root, refresh.EDGES, atomic, prefix, seeds.geo_override(spark))
+    models = wh.build_models(spark, atomic, prefix, spark.read.parquet(f"{root}/dim_geo"))
+    return checks.finished_report(spark, models, list(tests.values()))
 
 
 @query
@@ -765,6 +762,54 @@ def source_freshness(spark, sf):
     return fa.freshness(last, "last_seen", F.to_date(F.lit("2024-01-31")), 2).select("user_id", "age_days", "fresh")
 
 
+@query
+def incremental_rebuild(spark, sf):
+    """The atomic table after a refresh: one dataset's files have other values, one dataset is gone, the others stay as they were."""
+    root, sources = new_shared_path(spark, "refreshed"), _written_extracts(spark, sf)
+    refresh.refresh(spark, sources, root, None)
+    later = new_shared_path(spark, "extracts")
+    wide_csv.write_wide(star.wide_extracts(spark, sf, [224]).withColumns({y: F.col(f"`{y}`") + 1 for y in wh.YEARS}), later)
+    sources |= wide_csv.registry(later, [224], wide_csv.WRITTEN_NAMING)
+    del sources[227]
+    refresh.refresh(spark, sources, root, None)
+    return wh.read_atomic(spark, f"{root}/{refresh.ATOMIC}").drop("region_code")
+
+
+@query
+def refreshed_coverage(spark, sf):
+    """The coverage mart after a refresh in which one dataset came late."""
+    root, sources = new_shared_path(spark, "refreshed"), _written_extracts(spark, sf)
+    refresh.refresh(spark, {i: path for i, path in sources.items() if i != 227}, root, None)
+    refresh.refresh(spark, sources, root, None)
+    return spark.read.parquet(f"{root}/mart_metric_coverage")
+
+
+@query
+def landed_source_changes(spark, sf):
+    """Sources between two written audits: one came, one went, one got another file."""
+    sources = _written_extracts(spark, sf)
+
+    def audited(gone: int) -> DataFrame:
+        path = new_shared_path(spark, "audit")
+        fa.write_audit(fa.profile_files(spark, [p for i, p in sources.items() if i != gone]), path)
+        return fa.source_digests(spark.read.schema("path string, digest string, profile_error string").json(path))
+
+    before = audited(228)
+    star.wide_extracts(spark, sf, [224]).drop("dataset_id").limit(1).write.mode("append").csv(sources[224], header=True)
+    return fa.compare_snapshots(before, audited(227), "source").withColumnRenamed("source", "dataset_id")
+
+
+@query
+def landed_source_age(spark, sf):
+    """Age of the landed sources 40 days from now, against a limit of 30."""
+    path = new_shared_path(spark, "audit")
+    fa.write_audit(fa.profile_files(spark, list(_written_extracts(spark, sf).values())), path)
+    records = spark.read.schema("path string, modified_at timestamp").json(path)
+    source = F.regexp_extract("path", fv.RAW_FILE_ID_PATTERN, 1).cast("int")
+    landed = records.groupBy(source.alias("dataset_id")).agg(F.max("modified_at").alias("modified_at"))
+    return fa.freshness(landed, "modified_at", F.date_add(F.current_date(), 40), 30).drop("modified_at")
+
+
 # --- marts and report over every geography ---------------------------------------
 
 

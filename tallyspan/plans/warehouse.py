@@ -118,19 +118,25 @@ def demography_atomic(long: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def write_atomic(atomic: DataFrame, path: str) -> None:
+#: The stored table's partitions: a mart opens only its own metrics, a rebuild only its own datasets.
+PARTITIONS = ["metric_key", "dataset_id"]
+
+
+def write_atomic(atomic: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
     """Store the conformed table for all later reads.
 
-    Partitioned by metric, so a mart opens only its own metrics; sorted within
-    each task by code, which puts a region's codes of one length side by side,
-    so a region scope skips row groups and pages. A local sort only: no
-    exchange, hence no hot partition when one metric or region dominates.
+    Partitioned by metric and dataset, so a mart opens only its own metrics;
+    sorted within each task by code, which puts a region's codes of one length
+    side by side, so a region scope skips row groups and pages. A local sort
+    only: no exchange, hence no hot partition when one metric or region
+    dominates. ``dynamic`` replaces only the partitions that the rows are in.
     """
     (
         scope.with_region_code(atomic)
-        .sortWithinPartitions("metric_key", "geo_code")
-        .write.mode("overwrite")
-        .partitionBy("metric_key")
+        .sortWithinPartitions(*PARTITIONS, "geo_code")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 
@@ -143,7 +149,8 @@ ATOMIC = (
 
 
 def read_atomic(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ATOMIC).parquet(path)
+    stored = spark.read.schema(ATOMIC).parquet(path)
+    return stored.select(*[field.split()[0] for field in ATOMIC.split(", ")])
 
 
 def dim_geo(atomic: DataFrame, overrides: DataFrame) -> DataFrame:

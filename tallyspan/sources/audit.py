@@ -15,6 +15,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan import fixed_values as fv
 from tallyspan.operators.summarise import status_counts
 from tallyspan.session import new_shared_path
 from tallyspan.sources.wide_csv import LINES, RECORDS, WHOLE
@@ -239,6 +240,14 @@ def compare_snapshots(before: DataFrame, after: DataFrame, key: str = "path", di
     return old.join(new, key, "full_outer").select(key, status.alias("status"))
 
 
+def source_digests(records: DataFrame, id_pattern: str = fv.RAW_FILE_ID_PATTERN) -> DataFrame:
+    """source, digest, n_files: one digest for all files of a source; names and bytes count, the order of the files does not."""
+    source = F.regexp_extract("path", id_pattern, 1).try_cast("int")
+    each = records.where("path is not null").select(source.alias("source"), F.xxhash64("path", "digest", "profile_error").alias("h"))
+    summed = each.groupBy("source").agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.col("h").cast("decimal(38,0)")).alias("h"))
+    return summed.select("source", F.concat_ws("-", "n_files", "h").alias("digest"), "n_files")
+
+
 def freshness(df: DataFrame, stamp: str, as_of: Column, max_age_days: int) -> DataFrame:
     """Rows with their age in whole days and whether they are within the limit."""
     age = F.datediff(as_of, F.col(stamp))
