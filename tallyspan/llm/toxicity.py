@@ -75,15 +75,18 @@ class Machine:
 
 
 def fit(
-    docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 4, features: int = 1 << 15, least_docs: int = 4, least_tie: float = 3.0, epochs: int = 10, batch: int = 128,
+    docs: list[np.ndarray], labels: np.ndarray, *, factors: int = 4, features: int = 1 << 15, least_docs: int = 4, least_tie: float = 3.0,
+    paired: int = 2048, least_pair: float = 6.0, epochs: int = 10, batch: int = 128,
     rate: float = 0.25, pair_rate: float = 0.05, sparse: float = 2e-4, shrink: float = 1e-3, seed: int = 7,
 ) -> Machine:
     """Mini-batch AdaGrad on the logistic loss; weights are pulled to exactly 0 (`sparse`), vectors shrunk.
 
     Equal term sets count once, with their mean label; the rarer toxic ones weigh
-    the root of the ratio. Terms in fewer than
-    `least_docs` sets, or as often toxic as any other to within `least_tie`
-    standard deviations, are left out.
+    the root of the ratio. Terms in fewer than `least_docs` sets are left out. A
+    term is taken if its own tie to the label is `least_tie` standard deviations
+    or more, or if it is one of a pair whose joint tie is `least_pair` or more
+    beyond what the two say alone (:func:`in_pairs`), so that a term that tells
+    nothing alone is there for the pairs in which it tells.
     """
     sets: dict[bytes, list[float]] = {}
     for d, label in zip(docs, labels, strict=True):
@@ -99,8 +102,12 @@ def fit(
     toxic = np.bincount(np.searchsorted(seen, flat), np.repeat(y, lengths), len(seen))
     del flat
     tied = np.abs(toxic - n * prior) / np.sqrt(n * prior * (1 - prior))
-    often = np.flatnonzero((n >= least_docs) & (tied >= least_tie))
-    often = np.sort(often[np.argsort(-tied[often], kind="stable")[:features]])
+    frequent = np.argsort(-n, kind="stable")[:paired]
+    frequent = np.sort(frequent[n[frequent] >= least_docs])
+    paired_up = np.zeros(len(seen), bool)
+    paired_up[frequent[in_pairs(docs, y, seen[frequent], prior, least_pair)]] = True
+    often = np.flatnonzero((n >= least_docs) & ((tied >= least_tie) | paired_up))
+    often = np.sort(often[np.argsort(np.where(paired_up[often], -np.inf, -tied[often]), kind="stable")[:features]])
     rng = np.random.default_rng(seed)
     weigh = np.sqrt((1 - prior) / prior)
     m = Machine(float(np.log(weigh * prior / (1 - prior))), seen[often], np.zeros(len(often)), rng.normal(0, 0.01, (len(often), factors)))
@@ -132,6 +139,29 @@ def fit(
     return m
 
 
+def in_pairs(docs: list[np.ndarray], y: np.ndarray, terms: np.ndarray, prior: float, least: float, block: int = 1024) -> np.ndarray:
+    """Which of these terms belong to a pair that is toxic more or less often than the two terms say alone.
+
+    Alone they say: the log odds of either, added. What a pair departs from that
+    counts in standard deviations. Two matrices of terms by terms are all that
+    is held, however many sets there are.
+    """
+    known = Machine(0.0, terms, np.zeros(len(terms)), np.zeros((len(terms), 0)))
+    both, toxic = np.zeros((2, len(terms), len(terms)), np.float32)
+    for lo in range(0, len(docs), block):
+        rows, cols = known.known(docs[lo : lo + block])
+        has = np.zeros((len(docs[lo : lo + block]), len(terms)), np.float32)
+        has[rows, cols] = 1
+        both += has.T @ has
+        toxic += has.T @ (has * y[lo : lo + block, None].astype(np.float32))
+    rate = (np.diag(toxic) + prior) / (np.diag(both) + 1)
+    odds = np.log(rate / (1 - rate)) - np.log(prior / (1 - prior)) / 2
+    want = 1 / (1 + np.exp(-np.clip(odds[:, None] + odds[None, :], -30, 30)))
+    apart = np.abs(toxic - both * want) / np.sqrt(both * want * (1 - want) + 1)
+    np.fill_diagonal(apart, 0)
+    return apart.max(axis=1, initial=0) >= least
+
+
 def _sums(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
     return np.stack([np.bincount(group, rows[:, f], groups) for f in range(rows.shape[1])], axis=1)
 
