@@ -112,6 +112,7 @@ GROUPS = f"""
 #: Sentence spans of {docs}: left_over has what stays of each row.
 SPANS = f"""
     WITH d AS (SELECT row_number() OVER () AS rid, * FROM {{docs}}),
+    k AS (SELECT rid, md5(coalesce(text, ''))[:15] AS text_key FROM d),
     p AS (SELECT rid, doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i
           FROM (SELECT rid, doc_id, regexp_extract_all(text, '{sentence_spans.PATTERN}') AS parts FROM d)),
     w AS (SELECT *, regexp_extract_all(part, '[^\\x20\\x09-\\x0D]+') AS words FROM p),
@@ -121,8 +122,8 @@ SPANS = f"""
           GROUP BY ALL),
     s AS (SELECT e.rid, e.doc_id, e.start, e.stop, array_to_string(flatten(list(w.words ORDER BY w.i)), ' ') AS span
           FROM e JOIN w ON w.rid = e.rid AND w.i BETWEEN e.start AND e.stop GROUP BY ALL),
-    f AS (SELECT *, first_value(ROW(doc_id, start)) OVER (PARTITION BY span ORDER BY doc_id NULLS FIRST, start) AS first FROM s),
-    gone AS (SELECT DISTINCT rid, unnest(range(start, stop + 1)) AS i FROM f WHERE ROW(doc_id, start) IS DISTINCT FROM first),
+    f AS (SELECT *, first_value(ROW(doc_id, text_key, start)) OVER (PARTITION BY span ORDER BY doc_id NULLS FIRST, text_key, start) AS first FROM s JOIN k USING (rid)),
+    gone AS (SELECT DISTINCT rid, unnest(range(start, stop + 1)) AS i FROM f WHERE ROW(doc_id, text_key, start) IS DISTINCT FROM first),
     n AS (SELECT rid, count(*) AS n_sentences, count(gone.i) AS n_removed,
                  string_agg(part, '' ORDER BY w.i) FILTER (gone.i IS NULL) AS stays
           FROM w LEFT JOIN gone USING (rid, i) GROUP BY rid),

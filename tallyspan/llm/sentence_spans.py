@@ -5,7 +5,8 @@ or a line break), so that a passage pasted into the middle of other text has
 sentences of its own. A span is a run of several consecutive sentences: from
 each sentence on the shortest run of at least two with at least WORDS words.
 Spans are equal when their words are. The first occurrence of a span, by
-document id, then place, stays; sentences covered by any other occurrence go.
+document id, then text (its MD5), then place, stays; sentences covered by any
+other occurrence go.
 
 A passage with few or no marks may hold no two whole sentences. With `passages`,
 a stretch of REACH or more words without marks is cut further, behind the word
@@ -21,9 +22,10 @@ documents then meets its own rows in a join that adaptive execution can split.
 Texts travel once, to meet the places to remove.
 
 Defined cases: a null text stays null, an empty one empty, with no sentences;
-rows with a null id come first in the order; rows with equal id and text keep
-or lose the same sentences, since both hold the first occurrence; an empty
-table gives no row. Extra columns are ignored.
+rows with a null id come first in the order; different texts under one id, or
+under none, are told apart by their MD5; rows with equal id and text keep or lose
+the same sentences, since both hold the first occurrence; an empty table gives
+no row. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -116,36 +119,44 @@ def spans(parts: list[str], words: int = WORDS, passages: bool = False) -> list[
     return out
 
 
+def text_order(text_col: str) -> F.Column:
+    """The first 60 bits of the text's MD5: tells rows with one id apart, in an order that does not depend on the run."""
+    return F.conv(F.substring(F.md5(F.coalesce(F.col(text_col), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
 def span_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, passages: bool = False) -> DataFrame:
-    """span, doc_id, place: one row per span."""
+    """span, doc_id, text_key, place: one row per span."""
     cut = pieces if passages else sentences
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            keys, ids, places = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            keys, places, lengths = [], [], []
+            for text in batch.column(2).to_pylist():
                 found = spans(cut(text), words, passages)
                 keys += [k for _, _, k in found]
                 places += [a for a, _, _ in found]
-                ids += [doc_id] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.int32())], ["span", "doc_id", "place"])
+                lengths.append(len(found))
+            rows = pa.array(np.repeat(np.arange(len(lengths)), lengths))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(places, pa.int32())], ["span", "doc_id", "text_key", "place"]
+            )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    return in_batches(rows, run, "span long, doc_id long, place int")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_order(text_col).alias("text_key"), F.col(text_col).alias("body"))
+    return in_batches(rows, run, "span long, doc_id long, text_key long, place int")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, passages: bool = False) -> DataFrame:
-    """span, doc_id, place of every occurrence but the first."""
+    """span, doc_id, text_key, place of every occurrence but the first."""
     table = span_table(docs, id_col, text_col, words, passages)
     firsts = written(
         table.groupBy(F.col("span").alias("f_span"))
-        .agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(F.struct("doc_id", "text_key", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .select("f_span", "first"),
         "first-spans",  # written, so that the join stands alone in its stage and a hot span can be split
     )
-    here = F.struct("doc_id", "place")
-    return table.join(firsts, F.col("span") == F.col("f_span")).where(~here.eqNullSafe(F.col("first"))).select("span", "doc_id", "place")
+    here = F.struct("doc_id", "text_key", "place")
+    return table.join(firsts, F.col("span") == F.col("f_span")).where(~here.eqNullSafe(F.col("first"))).select("span", "doc_id", "text_key", "place")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, passages: bool = False) -> DataFrame:
@@ -153,12 +164,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = pieces if passages else sentences
     gone = (
         repeats(docs, id_col, text_col, words, passages)
-        .groupBy(F.col("doc_id").alias("gone_id"))
-        .agg(F.collect_list(F.struct("place", "span")).alias("gone"))  # at most a document's own sentences
+        .groupBy(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text"))
+        .agg(F.collect_set(F.struct("place", "span")).alias("gone"))  # at most one text's own spans, however often the row is repeated
     )
     others = [F.col(c) for c in docs.columns if c != text_col] or [F.lit(None).cast("string").alias("none")]
-    rows = docs.select(F.struct(*others).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "doc_id", "body", "gone")
+    rows = docs.select(F.struct(*others).alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_order(text_col).alias("text_key"), F.col(text_col).alias("body"))
+    met = rows.join(gone, (F.col("text_key") == F.col("gone_text")) & F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("row", "doc_id", "body", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
