@@ -20,7 +20,8 @@ Counting the links of a group of g different near copies compares its pairs,
 g * g / 2 of them, spread over cells. Exact copies cost nothing.
 
 Words are runs without blanks and control characters 9 to 13. Hashes have 64
-bits. Defined cases: a text of fewer words than n has one n-gram, all of them; null and
+bits. Rows are told apart by id and text, so null and repeated ids meet only their own
+text. Defined cases: a text of fewer words than n has one n-gram, all of them; null and
 empty texts have none, link to nothing and are groups of their own; rows with
 equal texts link to each other; a null id stays null and never names a group
 unless all its ids are null; an empty table gives no row. Extra columns are
@@ -181,24 +182,23 @@ def _groups(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, set_key (null without n-grams) and the band keys of every row."""
+    """doc_id, text_key (a hash of the text), set_key (null without n-grams) and the band keys of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 512):
-            found = [grams(t.as_py()) for t in batch.column(1)]
+            found = [grams(t.as_py()) for t in batch.column(2)]
             keys = bands(np.stack([signature(g) for g in found]))
             held = pa.array([set_key(g) if len(g) else None for g in found], pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), held, lists], ["doc_id", "set_key", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), held, lists], ["doc_id", "text_key", "set_key", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    return in_batches(rows, run, "doc_id long, set_key long, bands array<long>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("body"))
+    return in_batches(rows, run, "doc_id long, text_key long, set_key long, bands array<long>")
 
 
-def _memberships(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _memberships(classes: DataFrame) -> DataFrame:
     """band, bucket, node, n_nodes for buckets of at least two classes; of buckets with the same classes the first band's."""
-    one = rows.where("set_key is not null").join(classes, (F.col("set_key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_doc")))
-    keys = written(one.select(F.col("set_key").alias("node"), F.posexplode("bands").alias("band", "bucket")).distinct(), "bands")
+    keys = classes.select(F.col("c_key").alias("node"), F.posexplode("c_bands").alias("band", "bucket"))
     buckets = (
         keys.groupBy("band", "bucket")
         .agg(F.count(F.lit(1)).alias("n_nodes"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"), F.min("node").alias("least"))
@@ -218,16 +218,16 @@ def _cells(members: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """node, n_docs and packed n-grams of the named classes, from one of their documents each."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
-    met = rows.join(nodes, F.col("doc_id").eqNullSafe(F.col("c_doc"))).select("c_key", "n_docs", "body")
+    """node, n_docs and packed n-grams of the named classes, from one of their documents each, found by id and text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("body"))
+    met = rows.join(nodes, (F.col("text_key") == F.col("c_text")) & F.col("doc_id").eqNullSafe(F.col("c_first"))).select("c_key", "n_docs", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 512):
             out = []
             for node, n_docs, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = grams(body)
-                if len(found) and set_key(found) == node:  # another text may have the same id
+                if len(found) and set_key(found) == node:  # hashes of texts may collide
                     out.append((node, n_docs, found.tobytes()))
             columns = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.binary()], strict=True)], ["node", "n_docs", "grams"])
@@ -285,10 +285,13 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t:
     if t < THRESHOLD:
         raise ValueError(f"the bands are laid out for {THRESHOLD} and more")
     rows = written(features(docs, id_col, text_col), "grams")
-    classes = written(
-        rows.where("set_key is not null").groupBy(F.col("set_key").alias("c_key")).agg(F.min("doc_id").alias("c_doc"), F.count(F.lit(1)).alias("n_docs")), "classes"
-    )
-    cells = written(_cells(_memberships(rows, classes.select("c_key", "c_doc"))), "cells")
+    by_set = rows.where("set_key is not null").groupBy(F.col("set_key").alias("c_key"))
+    found = by_set.agg(
+        F.min("doc_id").alias("c_doc"), F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "text_key")).alias("at"), F.first("bands").alias("c_bands")
+    )  # equal sets have equal bands
+    held = written(found.select("c_key", "c_doc", "n_docs", F.col("at.doc_id").alias("c_first"), F.col("at.text_key").alias("c_text"), "c_bands"), "classes")
+    classes = held.drop("c_bands")
+    cells = written(_cells(_memberships(held)), "cells")
     wanted = classes.join(cells.select("node").distinct(), F.col("c_key") == F.col("node"), "left_semi")
     sets = _sets(docs, wanted, id_col, text_col)
     met = cells.join(sets, "node").select("band", "bucket", "i", "j", "block", "node", "n_docs", "grams")
