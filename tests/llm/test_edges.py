@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns, hot groups."""
 
+import math
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -338,3 +340,70 @@ def test_parts_around_the_article_go(extractor, container, part):
     main = container.format(body)
     page = f"<html><head><title>T</title></head><body>{AROUND[part] + main if before else main + AROUND[part]}</body></html>"
     assert extractor.texts([page])[0] == " ".join(["A title of some words", *PARAGRAPHS])
+
+
+# --- rows without an id of their own ---
+
+
+def passage_rows(ids):
+    """Six documents that share a passage, each with text of its own around it."""
+    shared = text(1000, 60)
+    return [(i, f"{text(2000 + k, 40)}. {shared}. {text(3000 + k, 40)}.") for k, i in enumerate(ids)]
+
+
+@pytest.mark.parametrize("passages", [False, True])
+@pytest.mark.parametrize("ids", [range(6), [None] * 6, [7] * 6, [None, None, 3, 3, 4, 5]])
+def test_a_passage_stays_once_whatever_the_ids(docs_of, ids, passages):
+    got = sentence_spans.deduped(docs_of(passage_rows(ids)), passages=passages).collect()
+    assert sorted(r.n_removed > 0 for r in got) == [False] + [True] * 5
+    repeated = sentence_spans.deduped(docs_of(passage_rows(ids) * 3), passages=passages).collect()
+    assert sorted(r.n_removed > 0 for r in repeated) == [False] * 3 + [True] * 15
+
+
+def test_spans_to_remove_are_bounded_by_the_text(docs_of):
+    rows = [(None, text(5, 90)) for _ in range(40)] + [(1, text(5, 90) + " and more words. " + text(6, 50))]
+    gone = sentence_spans.without_repeats(docs_of(rows)).collect()
+    assert {r.n_removed for r in gone if r.doc_id is None} == {0} and len(gone) == 41
+
+
+def test_near_copies_without_ids_meet_their_own_text_only(spark, docs_of):
+    base = words(77, 200)
+    near = [" ".join([*base[:k], f"other{k}", *base[k + 1 :]]) for k in range(0, 40)]
+    rows = [(None, t) for t in near] + [(i, t) for i, t in enumerate(near[:5])] + [(9, near[0]), (9, near[1])]
+    docs = docs_of(rows)
+    feats = ngram_join.features(docs)
+    assert feats.select("doc_id", "text_key").distinct().count() == len(rows)
+    found = ngram_join.similar(docs).collect()
+    assert {r.class_id for r in found} == {0} and {r.n_links for r in found} == {len(rows) - 1}
+
+
+# --- pairs of terms ---
+
+
+def test_terms_that_tell_only_in_pairs_are_learned(docs_of):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(1500):
+        body = words(i, 20)
+        one, other = rng.random() < 0.5, rng.random() < 0.5
+        body += ["firstterm"] * one + ["secondterm"] * other
+        rng.shuffle(body)
+        rows.append((i, " ".join(body)))
+        labels.append((i, 1, int(one != other)))
+    docs = docs_of(rows)
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, docs.sparkSession.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [(got[i].predicted, y) for i, _, y in labels if got[i].held_out]
+    assert sum(p == y for p, y in held) > 0.9 * len(held)
+
+
+def test_scores_are_the_formula():
+    rng = random.Random(5)
+    docs = [np.array(sorted(rng.sample(range(50), 8)), np.uint32) for _ in range(400)]
+    labels = np.array([float((3 in d) and (7 in d) or (11 in d)) for d in docs])
+    machine = toxicity.fit(docs, labels)
+    at = {int(t): k for k, t in enumerate(machine.at)}
+    for d, score in zip(docs[:50], machine.scores(docs[:50]), strict=True):
+        own = [at[int(t)] for t in d if int(t) in at]
+        z = machine.bias + sum(machine.weight[k] for k in own)
+        z += sum(float(machine.vector[a] @ machine.vector[b]) for i, a in enumerate(own) for b in own[:i])
+        assert score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
