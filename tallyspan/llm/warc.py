@@ -74,18 +74,73 @@ def record_bytes(kind: str, record_id: str, uri: str | None, payload: bytes, siz
     return VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n"
 
 
+def _text(raw: bytes) -> str:
+    """A header's text: UTF-8 or, as older archives have it, Latin-1."""
+    try:
+        return raw.decode("utf-8", "surrogatepass")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
 def _fields(lines: bytes) -> dict[str, str]:
-    out = {}
+    """Header fields by lower-case name; a line that begins with a blank goes on with the one before."""
+    out: dict[str, str] = {}
+    last = None
     for line in lines.split(b"\r\n"):
+        if line[:1] in (b" ", b"\t") and last:
+            out[last] = f"{out[last]} {_text(line.strip())}".strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon or not name or name != name.strip():
             raise BadArchive(f"bad header line {line[:80]!r}")
-        out[name.decode("latin-1").lower()] = value.strip().decode("utf-8", "surrogatepass")
+        last = name.decode("latin-1").lower()
+        out[last] = _text(value.strip())
     return out
 
 
+def _matches(said: str, data: bytes) -> bool:
+    """Whether a labelled digest is that of the data; one in an unknown algorithm or form cannot be checked and passes."""
+    label, colon, value = said.partition(":")
+    label = label.lower().replace("-", "")
+    if not colon or not value or label not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    found = hashlib.new(label, data).digest()
+    forms = {base64.b32encode(found).decode().rstrip("="), found.hex().upper()}
+    return len(value.rstrip("=")) not in map(len, forms) or value.rstrip("=").upper() in forms
+
+
+def _sha1_of(said: str) -> str | None:
+    """The base 32 SHA-1 that a header states, if it does."""
+    label, _, value = said.partition(":")
+    return value.upper() if label.lower() in ("sha1", "sha-1") and len(value) == 32 else None
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """The content of a chunked body, None where it is none."""
+    out, at = [], 0
+    while True:
+        line, gap, _ = body[at : at + 40].partition(b"\r\n")
+        try:
+            size = int(line.partition(b";")[0], 16)
+        except ValueError:
+            return None
+        at += len(line) + 2
+        if not gap or size < 0 or len(body) < at + size:
+            return None
+        if not size:
+            return b"".join(out)
+        out.append(body[at : at + size])
+        at += size + 2
+
+
 def parse_record(data: bytes) -> tuple:
-    """The fields of RECORD_SCHEMA but the last. Raises BadArchive where a header, a length or a digest is wrong."""
+    """The fields of RECORD_SCHEMA but the last. Raises BadArchive where a header, a length or a digest is wrong.
+
+    Other writers' records are read as the standard allows: folded and Latin-1
+    headers, digests of other algorithms (checked where they can be), HTTP
+    without a length or in chunks, whose content is the payload, and revisits
+    that name no record; a size that nothing states is null.
+    """
     top, gap, rest = data.partition(b"\r\n\r\n")
     version, _, lines = top.partition(b"\r\n")
     if not gap or version not in (VERSION, b"WARC/1.0"):
@@ -100,27 +155,32 @@ def parse_record(data: bytes) -> tuple:
     if len(rest) != int(length) + 4 or not rest.endswith(b"\r\n\r\n"):
         raise BadArchive(f"Content-Length is {length}, the frame holds {len(rest) - 4}")
     block, kind = rest[:-4], field["warc-type"]
-    said = field.get("warc-block-digest", "sha1:").removeprefix("sha1:")
-    if said and said != digest(block):
+    if not _matches(field.get("warc-block-digest", ""), block):
         raise BadArchive("block digest differs")
     refers_to = field["warc-refers-to"].strip("<>") if "warc-refers-to" in field else None
     base = (field["warc-record-id"].strip("<>"), kind, refers_to, field.get("warc-target-uri"))
+    said = field.get("warc-payload-digest", "")
     if kind not in ("response", "revisit"):
-        return *base, len(block), field.get("warc-payload-digest", "").removeprefix("sha1:") or None, block
+        return *base, len(block), _sha1_of(said), block
+    if not block.startswith(b"HTTP/"):  # the answer of another protocol is its own payload
+        if kind == "response" and not _matches(said, block):
+            raise BadArchive("payload digest differs")
+        return (*base, None, _sha1_of(said), None) if kind == "revisit" else (*base, len(block), _sha1_of(said) or digest(block), block)
     http, gap, payload = block.partition(b"\r\n\r\n")
-    size = _fields(http.partition(b"\r\n")[2]).get("content-length", "") if gap else ""
-    if not (size.isascii() and size.isdigit()):
-        raise BadArchive("no HTTP length")
-    sha1 = field.get("warc-payload-digest", "").removeprefix("sha1:")
+    answer = _fields(http.partition(b"\r\n")[2]) if gap and b"\r\n" in http else {}
+    size = answer.get("content-length", "")
+    stated = int(size) if size.isascii() and size.isdigit() else None
     if kind == "revisit":
-        if payload or not refers_to:
-            raise BadArchive("a revisit holds a payload or refers to nothing")
-        return *base, int(size), sha1, None
-    if len(payload) != int(size):
+        if payload:
+            raise BadArchive("a revisit holds a payload")
+        return *base, stated, _sha1_of(said), None
+    whole = _unchunked(payload) if "chunked" in answer.get("transfer-encoding", "").lower() else None
+    if whole is None and stated is not None and len(payload) != stated:
         raise BadArchive(f"HTTP length is {size}, the payload has {len(payload)}")
-    if sha1 and sha1 != digest(payload):
+    if not _matches(said, payload) and (whole is None or not _matches(said, whole)):
         raise BadArchive("payload digest differs")
-    return *base, len(payload), sha1 or digest(payload), payload
+    payload = payload if whole is None else whole
+    return *base, len(payload), digest(payload), payload
 
 
 # --- frames --------------------------------------------------------------------
@@ -143,7 +203,13 @@ def frames(read, chunk: int = CHUNK) -> Iterator[bytes]:
         size = struct.unpack("<I", held[4:])[0]
         body = b"".join(_exactly(read, size))
         if body[:4] == struct.pack("<I", ZSTD_FRAME):
-            body = zstandard.ZstdDecompressor().decompress(body, max_output_size=1 << 28)
+            one = zstandard.ZstdDecompressor().decompressobj()
+            try:
+                body = one.decompress(body)
+            except zstandard.ZstdError as error:
+                raise BadArchive(f"no dictionary: {error}") from None
+            if not one.eof:
+                raise BadArchive("the dictionary ends within its frame")
         unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(body))
         held = read(chunk)
     while held:
