@@ -5,15 +5,21 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
+from functools import cache
 
 # Fixed values of HTML: element kinds.
-INLINE = set(
+MATH = set(
+    "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
+INLINE = MATH | set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea iframe noembed noframes xmp".split())
 #: Never text of a page, whatever a model says.
-HIDDEN = set("head noscript template svg math button select option datalist object canvas audio video map".split())
+HIDDEN = set("head noscript template svg annotation annotation-xml button select option datalist canvas audio video map".split())
+#: What may stand in a head that does not end; anything else ends it.
+IN_HEAD = set("base link meta noscript script style template title".split())
 #: An open element of the second kind ends where one of the first begins.
 P_ENDERS = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li dd dt".split()
@@ -64,11 +70,41 @@ class Page:
         return " ".join(out)
 
 
+class _Open:
+    """The open elements, with the places of each name, so that no question walks the whole stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#root", 0)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, node: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, node))
+
+    def last(self, names: set[str]) -> int:
+        """The place of the innermost open element of these names, 0 for none."""
+        return max((p[-1] for n in names if (p := self.places.get(n))), default=0)
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop()[0]].pop()
+
+    def without(self, name: str) -> None:
+        """Close elements of a name, but not those within them."""
+        if self.places.get(name):
+            kept = [s for s in self.stack[1:] if s[0] != name]
+            self.cut(1)
+            for s in kept:
+                self.push(*s)
+
+
 def parse(source: str) -> Page:
-    """Blocks, their nesting and text. Broken markup is read as browsers roughly do; nothing raises."""
+    """Blocks, their nesting and text, in time that grows with the source. Broken markup is read as browsers roughly do; nothing raises."""
     page = Page()
     tag, parent, names, inline, linked, runs = page.tag, page.parent, page.names, page.inline, page.linked, page.runs
-    stack: list[tuple[str, int]] = [("#root", 0)]
+    opened = _Open()
+    stack = opened.stack
     node, links, at, end = 0, 0, 0, len(source)
     match = _TOKEN.match
     while at < end:
@@ -80,6 +116,10 @@ def parse(source: str) -> Page:
             if run[0] != "<" or run == "<":
                 if "&" in run:
                     run = html.unescape(run)
+                if stack[-1][0] == "head" and run.strip():
+                    opened.without("head")
+                    node = stack[-1][1]
+                    runs.append((node, "\n"))
                 runs.append((node, run))
                 if links:
                     linked[node] += len(run)
@@ -92,14 +132,15 @@ def parse(source: str) -> Page:
                 continue
             if name == "br" or name == "p":
                 runs.append((node, " "))
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    node, links = stack[-1][1], 0
-                    # text behind a block is a block of its own
-                    runs.append((node, "\n"))
-                    break
+            if k := opened.last({name}):
+                opened.cut(k)
+                node, links = stack[-1][1], 0
+                # text behind a block is a block of its own
+                runs.append((node, "\n"))
             continue
+        if stack[-1][0] == "head" and name not in IN_HEAD and name not in ("head", "html"):
+            opened.without("head")
+            node = stack[-1][1]
         if name in INLINE:
             inline[node] += 1
             if name == "a":
@@ -111,31 +152,36 @@ def parse(source: str) -> Page:
             if name == "br" or name == "hr":
                 runs.append((node, " "))
             continue
+        attributes = m[3] or m[6] or ""
+        if name == "svg" and attributes.endswith("/"):
+            continue
         if name in RAW:
-            close = re.compile(f"</{re.escape(name)}\\b[^>]*>?", re.IGNORECASE).search(source, at)
+            close = _closing(name).search(source, at)
             at = close.end() if close else end
             continue
         if name in P_ENDERS and any(s[0] == "p" for s in stack[-3:]):
             while stack[-1][0] != "p" and len(stack) > 1 and stack[-1][0] not in P_ENDERS:
-                stack.pop()
+                opened.cut(len(stack) - 1)
             if stack[-1][0] == "p":
-                stack.pop()
+                opened.cut(len(stack) - 1)
         if name in SAME_ENDERS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in SCOPES[name]:
-                    break
-                if stack[k][0] in SAME_ENDERS[name]:
-                    del stack[k:]
-                    break
+            k = opened.last(SAME_ENDERS[name])
+            if k > opened.last(SCOPES[name]):
+                opened.cut(k)
         if name == "body":
-            stack = [s for s in stack if s[0] != "head"]
+            opened.without("head")
         above, links = stack[-1][1], 0
         node = len(tag)
         tag.append(name)
         parent.append(above)
-        names.append(tokens(m[3] or m[6] or ""))
+        names.append(tokens(attributes))
         inline.append(0)
         linked.append(0)
-        stack.append((name, node))
+        opened.push(name, node)
         runs.append((node, "\n"))
     return page
+
+
+@cache
+def _closing(name: str) -> re.Pattern:
+    return re.compile(f"</{re.escape(name)}\\b[^>]*>?", re.IGNORECASE)

@@ -54,8 +54,14 @@ ADVERT_NAMES = ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored",
 COMMENT_NAMES = ["comments", "comment", "comment-list", "commentlist", "responses", "replies", "discussion", "disqus", "respond", "user-comments"]
 
 
-def shape(page: Page) -> tuple[np.ndarray, list[set[str]], list[set[str]]]:
-    """Per block: tags and numbers; its own attribute words; those of its ancestors."""
+#: Per block: tags and numbers; its own attribute words; its parent.
+Shape = tuple[np.ndarray, list[tuple[str, ...]], list[int]]
+#: Blocks whose features are spread out at once.
+ROWS = 4096
+
+
+def shape(page: Page) -> Shape:
+    """What the trees see of a page's blocks."""
     n = len(page.tag)
     own, marks, words = [0] * n, [0] * n, [0] * n
     start = [-1] * n  # characters before a block
@@ -83,7 +89,6 @@ def shape(page: Page) -> tuple[np.ndarray, list[set[str]], list[set[str]]]:
         word_sum[p] += word_sum[i]
         children[p].append(i)
     depth, above = [0] * n, [0] * n
-    names_above: list[set[str]] = [set()] * n
     x = np.zeros((n, 2 * len(TAGS) + len(NUMBERS)), np.float32)
     total = max(1, sub[0])
     rank, count = [0] * n, [1] * n
@@ -107,7 +112,6 @@ def shape(page: Page) -> tuple[np.ndarray, list[set[str]], list[set[str]]]:
             depth[i] = depth[p] + 1
             tp = _TAG.get(page.tag[p], -1)
             above[i] = above[p] | (1 << tp if tp >= 0 else 0)
-            names_above[i] = names_above[p].union(page.names[p]) if page.names[p] else names_above[p]
         if t >= 0:
             x[i, t] = 1
         rows.append(
@@ -118,7 +122,7 @@ def shape(page: Page) -> tuple[np.ndarray, list[set[str]], list[set[str]]]:
     bits = np.array(above, np.int64)
     for t in range(len(TAGS)):
         x[:, len(TAGS) + t] = bits >> t & 1
-    return x, [set(s) for s in page.names], names_above
+    return x, page.names, parent
 
 
 @dataclass
@@ -128,23 +132,45 @@ class Extractor:
     model: Boosted
     names: dict[str, int]
 
-    def matrix(self, shaped: tuple[np.ndarray, list[set[str]], list[set[str]]]) -> np.ndarray:
-        x, own, above = shaped
-        words = np.zeros((len(x), 2 * len(self.names)), np.float32)
-        for i, (a, b) in enumerate(zip(own, above, strict=True)):
-            for w in a:
-                if (k := self.names.get(w)) is not None:
-                    words[i, k] = 1
-            for w in b:
-                if (k := self.names.get(w)) is not None:
-                    words[i, len(self.names) + k] = 1
-        return np.concatenate([x, words], axis=1)
+    def matrices(self, shaped: Shape) -> Iterator[np.ndarray]:
+        """The features of all blocks, ROWS of them at a time. Ancestors' words are one number of bits per block."""
+        x, names, parent = shaped
+        own, above = [0] * len(x), [0] * len(x)
+        for i, words in enumerate(names):
+            own[i] = sum(1 << k for w in set(words) if (k := self.names.get(w)) is not None)
+            if i:
+                above[i] = above[parent[i]] | own[parent[i]]
+        size = len(self.names)
+        for lo in range(0, len(x), ROWS):
+            part = x[lo : lo + ROWS]
+            spread = np.zeros((len(part), 2 * size), np.float32)
+            for r in range(len(part)):
+                bits = own[lo + r] | above[lo + r] << size
+                while bits:
+                    low = bits & -bits
+                    spread[r, low.bit_length() - 1] = 1
+                    bits ^= low
+            yield np.concatenate([part, spread], axis=1)
 
     def texts(self, sources: list[str | None]) -> list[str]:
         pages = [parse(s or "") for s in sources]
-        matrices = [self.matrix(shape(p)) for p in pages]
-        scores = self.model.logits(np.concatenate(matrices)) if matrices else []
-        out, at = [], 0
+        out = []
+        held, waiting, n = [], [], 0
+        for page in pages:
+            waiting.append(page)
+            for part in self.matrices(shape(page)):
+                held.append(part)
+                n += len(part)
+            if n >= ROWS:
+                out += self._decoded(waiting, held)
+                held, waiting, n = [], [], 0
+        return out + self._decoded(waiting, held)
+
+    def _decoded(self, pages: list[Page], parts: list[np.ndarray]) -> list[str]:
+        if not pages:
+            return []
+        small = parts if max(map(len, parts)) >= ROWS else [np.concatenate(parts)]
+        scores, out, at = np.concatenate([self.model.logits(p) for p in small]), [], 0
         for page in pages:
             n = len(page.tag)
             out.append(page.text(decode(page, scores[at : at + n])))
@@ -306,7 +332,7 @@ def teach(sources: list[str], copies: int = 3, names: int = 192, seed: int = 11)
     seen = Counter(w for _, own, _ in shaped for s in own for w in s)
     known = {w: i for i, (w, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:names])}
     extractor = Extractor(Boosted(0.0, []), known)
-    x = np.concatenate([extractor.matrix(s) for s in shaped])
+    x = np.concatenate([part for s in shaped for part in extractor.matrices(s)])
     extractor.model = boost(x, np.array(labels, float))
     return extractor
 

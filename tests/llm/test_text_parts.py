@@ -1,9 +1,11 @@
 """The helpers without Spark, against slow and plain versions."""
 
+import hashlib
 import io
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -336,3 +338,65 @@ def test_boosting_learns_what_one_split_cannot():
     model = boosting.boost(x[:2000], y[:2000])
     assert ((model.logits(x[2000:]) > 0) == (y[2000:] > 0)).mean() > 0.93
     assert len(boosting.boost(x[:0], y[:0]).trees) == 0
+
+
+# --- archives of other writers ---
+
+
+def foreign(block, *fields, kind="response"):
+    head = [b"WARC/1.0", b"WARC-Type: " + kind.encode(), b"WARC-Record-ID: <urn:x:1>", b"WARC-Date: 2020-01-01T00:00:00Z", *fields]
+    return b"\r\n".join([*head, b"Content-Length: " + str(len(block)).encode()]) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers():
+    plain = b"HTTP/1.1 200 OK\r\nServer: s\r\n\r\nbody"
+    sha = hashlib.sha256(b"body").hexdigest().encode()
+    rec = warc.parse_record(foreign(plain, b"WARC-Target-URI: http://a/\xe9", b"X-Folded: one\r\n two", b"WARC-Payload-Digest: sha256:" + sha))
+    assert rec[3:] == ("http://a/é", 4, warc.digest(b"body"), b"body")
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3;x=y\r\nabc\r\n2\r\nde\r\n0\r\n\r\n"
+    assert warc.parse_record(foreign(chunked, b"WARC-Payload-Digest: sha1:" + warc.digest(b"abcde").encode()))[4:] == (5, warc.digest(b"abcde"), b"abcde")
+    assert warc.parse_record(foreign(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nnot chunks"))[6] == b"not chunks"
+    assert warc.parse_record(foreign(b"HTTP/1.1 304 Not Modified\r\n\r\n", kind="revisit"))[2:6] == (None, None, None, None)
+    assert warc.parse_record(foreign(b"gopher text", b"WARC-Payload-Digest: blake3:xyz"))[4] == 11
+    for bad in (b"sha256:" + hashlib.sha256(b"other").hexdigest().encode(), b"sha1:" + warc.digest(b"other").encode(), b"md5:" + b"0" * 32):
+        with pytest.raises(warc.BadArchive, match="payload digest"):
+            warc.parse_record(foreign(plain, b"WARC-Payload-Digest: " + bad))
+
+
+def test_broken_dictionaries_are_told():
+    body = b"".join([(0xFD2FB528).to_bytes(4, "little"), b"\x00garbage"])
+    for held in (body, warc.dictionary_frame(b"x" * 5000)[8:-3]):
+        raw = warc.struct.pack("<II", warc.DICTIONARY_FRAME, len(held)) + held
+        with pytest.raises(warc.BadArchive):
+            list(warc.frames(io.BytesIO(raw + b"more").read))
+
+
+# --- foreign pages ---
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<html><head><title>t</title><meta x><div>a</div><p>b", "a b"),
+        ("<head><script>s</script>text <b>bold</b>", "text bold"),
+        ("<div>a<svg/>b</div><p>c", "ab c"),
+        ("<p>a <svg><path d='x'/><text>no</text></svg> b</p>", "a b"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds</p>", "so x=2 holds"),
+        ("<object><p>fallback</p></object>", "fallback"),
+        ("<ul><li>a<div><div>b<li>c</ul>d", "a b c d"),
+    ],
+)
+def test_foreign_markup_keeps_its_text(source, want):
+    page = dom.parse(source)
+    assert page.text(main_text.decode(page, np.full(len(page.tag), 5.0))) == want
+
+
+@pytest.mark.parametrize("unit", ["<div class='some-name other{}'>", "<div></x></y>", "<li><div></li>", "<ul><li></li>", "<body><p>", "</div>", "<p>a<svg/>"])
+def test_a_page_of_a_megabyte_is_read_at_once(unit):
+    source = "".join(unit.format(i) for i in range(1_000_000 // len(unit)))
+    start = time.process_time()
+    page = dom.parse(source)
+    extractor = main_text.Extractor(boosting.Boosted(0.5, []), {"some": 0, "name": 1})
+    spent = time.process_time() - start
+    rows = sum(len(m) for m in extractor.matrices(main_text.shape(page)))
+    assert rows == len(page.tag) and spent < 5
