@@ -22,7 +22,7 @@ from tallyspan.llm import (
     toxicity,
     warc,
 )
-from tallyspan.llm.common import table
+from tallyspan.llm.common import table, written
 
 #: Base 32 in SQL: each 5 hexadecimal digits are 4 letters.
 _BASE32 = """array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
@@ -34,6 +34,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archives": lambda spark, sf: warc.page_archives(table(spark, sf, "pages")),
     "op2_quality_ledger": lambda spark, sf: rules.judged(table(spark, sf, "documents")),
+    "op2_ablations": lambda spark, sf: rules.ablations(written(rules.ledger(table(spark, sf, "documents")), "ledger")),
     "op3_sentencepiece": lambda spark, sf: pieces.encoded_digests(table(spark, sf, "documents"), PIECE_MODEL),
     "op4_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op5_minimax_shards": lambda spark, sf: sharding.shard_by_bytes(table(spark, sf, "documents")),
@@ -132,15 +133,8 @@ SPANS = f"""
                   FROM d LEFT JOIN n USING (rid))
     """
 
-SQL: dict[str, str] = {
-    "op1_warc_archives": f"""
-        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
-        r AS (SELECT *, sha1(payload) AS hex_sha1, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
-        SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
-               CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
-        FROM r""",
-    "op2_quality_ledger": f"""
+#: The ledger, as f.
+LEDGER = f"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
         w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
         g AS (SELECT rid, i, list_slice(words, i, i + 7) AS gram
@@ -155,11 +149,30 @@ SQL: dict[str, str] = {
                      coalesce(n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
                      len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_echo_words
               FROM w LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid)),
-        f AS (SELECT *, {" | ".join(f"(CASE WHEN {r.fails} THEN {1 << i} ELSE 0 END)" for i, r in enumerate(rules.RULES))} AS failed FROM m)
+        f AS (SELECT *, {" | ".join(f"(CASE WHEN {r.fails} THEN {1 << i} ELSE 0 END)" for i, r in enumerate(rules.RULES))} AS failed FROM m)"""
+
+_CASES = ", ".join(f"('{p}', '{r}', {rules.mask(names)}, {rules.mask((r,))})" for p, names in rules.POLICIES.items() for r in names)
+
+SQL: dict[str, str] = {
+    "op1_warc_archives": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        r AS (SELECT *, sha1(payload) AS hex_sha1, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+        SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+        FROM r""",
+    "op2_quality_ledger": LEDGER
+    + f"""
         SELECT doc_id, {", ".join(f"{m}::BIGINT AS {m}" for m in rules.MEASURES)}, failed::BIGINT AS failed,
                (failed & {rules.mask(rules.POLICIES["base"])}) <> 0 AS base_failed,
                (failed & {rules.mask(rules.POLICIES["v2"])}) = 0 AS kept
         FROM f""",
+    "op2_ablations": LEDGER
+    + f""",
+        grid(policy, rule, all_bits, bit) AS (VALUES {_CASES})
+        SELECT policy, rule, count(*) AS n_docs, count(*) FILTER ((failed & all_bits) = 0) AS n_kept,
+               count(*) FILTER ((failed & bit) <> 0) AS n_failed_rule, count(*) FILTER ((failed & (all_bits - bit)) = 0) AS n_kept_without
+        FROM f, grid GROUP BY policy, rule""",
     "op9_sentence_spans": SPANS.format(docs="documents")
     + "SELECT doc_id, n_sentences, n_removed, text FROM left_over",
     "op10_ngram_join": GROUPS.format(docs="documents") + "SELECT doc_id, class_id, n_links, n_text_links FROM grouped",
