@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import in_batches, slices
+from tallyspan.llm.common import in_batches, slices, written
 
 SHARE = 0.06
 LEAST = 40
@@ -154,10 +154,12 @@ def contaminated(
         return in_batches(rows, run, schema)
 
     found = []
-    for b in range(blocks):  # a block's letters are bounded, so is what the driver and a task hold
+    for b in range(blocks):  # a block's letters are bounded
         part = items.where(F.pmod(F.xxhash64("item_id", "body"), F.lit(blocks)) == b)
         block = [(r.item_id, text) for r in part.toLocalIterator() if len(text := words_of(r.body)) >= least]
-        found.append(against(block))
+        hits = against(block)
+        # of several blocks each is done before the next is fetched, so the driver and a task hold one
+        found.append(hits if blocks == 1 else written(hits, "contaminated"))
     if not found:
         return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionAll, found)
