@@ -347,6 +347,8 @@ SQL: dict[str, str] = {
         LEFT JOIN {_values(fv.SETTLEMENT_LABELS_CSV, ["sort_order"]).replace("AS t(", "AS b(")}
           ON n.settlement_type = b.settlement_type_id""",
     "prefix_scope": f"SELECT o_orderkey, o_custkey FROM orders WHERE {_prefix('14', 'o_custkey')}",
+    "prefix_of_signed_codes": """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN -o_custkey ELSE o_custkey END AS code FROM orders)
+        SELECT o_orderkey, code, prefix FROM c, (VALUES ('-12'), ('123'), ('-'), ('0'), ('1x')) p(prefix) WHERE starts_with(CAST(code AS VARCHAR), prefix)""",
     "prefix_blank_default": f"WITH {LONG} SELECT * FROM long WHERE {_prefix('1714')}",
     "total_axes_slice": f"""WITH {ATOMIC} SELECT geo_code, year, metric_key, value FROM atomic
         WHERE sex = 'total' AND settlement_type = 'total' AND metric_key IN ({_in(fv.OVERVIEW_MEASURES)})""",

@@ -15,22 +15,58 @@ def clean_prefix(prefix: str, default: str = DEFAULT_GEO_PREFIX) -> str:
     return prefix.strip() or default
 
 
+#: Least and largest value of the integer types.
+INTEGERS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+
+
+def prefix_ranges(prefix: str, bits: int = 63) -> list[tuple[int, int]]:
+    """The integers whose decimal text starts with the prefix, as inclusive ranges within a type of so many value bits.
+
+    1714 gives 1714-1714, 17140-17149, 171400-171499 and so on; -17 the mirrored
+    ranges, - all negative numbers. Numbers are written without leading zeros, a
+    plus or blanks, so a prefix with one of these gives none.
+    """
+    least, largest = -(1 << bits), (1 << bits) - 1
+    sign, digits = (-1, prefix[1:]) if prefix.startswith("-") else (1, prefix)
+    if not digits:
+        return [(least, -1)] if sign < 0 else [(least, largest)]
+    if not (digits.isascii() and digits.isdigit()):
+        return []
+    if digits[0] == "0":
+        return [(0, 0)] if prefix == "0" else []
+    found, low, high = [], int(digits), int(digits)
+    while low <= (largest if sign > 0 else -least):
+        ends = sorted((sign * low, sign * high))
+        found.append((max(ends[0], least), min(ends[1], largest)))
+        low, high = low * 10, high * 10 + 9
+    return found
+
+
 def in_prefix(df: DataFrame, prefix: str | None, code: str = "geo_code") -> DataFrame:
     """Rows whose code starts with the prefix, read as text; all rows for ``None``.
 
-    The prefix is a literal, so ``%`` and ``_`` are ordinary characters. Blank
-    text, as user input may be, falls back to the default.
+    For an integer code the prefix is a union of ranges, which file statistics
+    can answer; null codes start with nothing. The prefix is a literal, so ``%``
+    and ``_`` are ordinary characters. Blank text, as user input may be, falls
+    back to the default.
     """
     if prefix is None:
         return df
-    return df.where(F.col(code).cast("string").startswith(clean_prefix(prefix)))
+    prefix = clean_prefix(prefix)
+    kind = df.schema[code].dataType.simpleString() if code in df.columns else ""
+    if kind not in INTEGERS:
+        return df.where(F.col(code).cast("string").startswith(prefix))
+    inside = F.lit(False)
+    for low, high in prefix_ranges(prefix, INTEGERS[kind]):
+        inside = inside | F.col(code).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return df.where(inside)
 
 
 def in_region(df: DataFrame, prefix: str | None, code: str = "geo_code", region: str = "region_code") -> DataFrame:
     """Same rows as :func:`in_prefix`, plus a predicate the file scan can use.
 
-    ``region`` holds the first four characters of the code; comparing it lets
-    the reader skip row groups that a cast on the numeric code cannot.
+    ``region`` holds the first four characters of the code, for codes that are
+    not integers or files that are partitioned by it.
     """
     if prefix is None:
         return df

@@ -362,6 +362,14 @@ def prefix_scope(spark, sf):
     return scope.in_prefix(_orders(spark, sf).select("o_orderkey", "o_custkey"), " 14 ", "o_custkey")
 
 
+@query
+def prefix_of_signed_codes(spark, sf):
+    """A longer prefix on codes of either sign, some of them null."""
+    signed = F.when(F.col("o_orderkey") % 7 == 0, None).when(F.col("o_orderkey") % 2 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    rows = _orders(spark, sf).select("o_orderkey", signed.alias("code"))
+    return enrich.union_sources(scope.in_prefix(rows, p, "code").withColumn("prefix", F.lit(p)) for p in ("-12", "123", "-", "0", "1x"))
+
+
 @query
 def prefix_blank_default(spark, sf):
     return scope.in_prefix(star.staged_long(spark, sf), "  ")

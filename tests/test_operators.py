@@ -4,6 +4,8 @@ import math
 import random
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyspan.functions import measures as ms
@@ -336,3 +338,38 @@ def test_the_scope_of_a_report_is_its_own(spark, monkeypatch, name):
     monkeypatch.setattr(reports, "scoped", lambda mart, *a, **k: mart)
     codes = {str(r.geo_code)[:4] for r in QUERIES[name](spark, "/root/testdata/sf0.001").select("geo_code").distinct().collect()}
     assert codes > {"1714"}
+
+
+# --- prefixes as ranges ---
+
+
+@given(st.text("0123456789-+ x", max_size=5), st.lists(st.integers(-(2**63), 2**63 - 1) | st.integers(-3000, 3000), max_size=30))
+def test_prefix_ranges_are_the_prefix(prefix, numbers):
+    ranges = scope.prefix_ranges(prefix)
+    for n in [*numbers, 0, -(2**63), 2**63 - 1]:
+        assert any(low <= n <= high for low, high in ranges) == str(n).startswith(prefix)
+
+
+@given(st.integers(-999, 999), st.integers(-(2**31), 2**31 - 1))
+def test_prefix_ranges_stay_within_the_type(prefix, number):
+    ranges = scope.prefix_ranges(str(prefix), 31)
+    assert any(low <= number <= high for low, high in ranges) == str(number).startswith(str(prefix))
+    assert all(-(2**31) <= low <= high < 2**31 for low, high in ranges)
+
+
+def test_prefix_of_codes_of_any_type(spark):
+    rows = [(1714, "1714"), (-1714, "-1714"), (None, None), (17, "17"), (171, "0171")]
+    for kind in ("int", "bigint"):
+        df = spark.createDataFrame(rows, "c bigint, t string").selectExpr(f"cast(c as {kind}) as c", "t")
+        assert sorted(r.c for r in scope.in_prefix(df, "171", "c").collect()) == [171, 1714]
+        assert [r.c for r in scope.in_prefix(df, "-1", "c").collect()] == [-1714]
+        assert scope.in_prefix(df, "1_", "c").count() == 0
+        assert [r.t for r in scope.in_prefix(df, "01", "t").collect()] == ["0171"]
+
+
+def test_prefix_reaches_the_scan(spark, plan, tmp_path):
+    spark.range(200_000).selectExpr("id as geo_code").sortWithinPartitions("geo_code").write.parquet(str(tmp_path / "codes"))
+    df = scope.in_prefix(spark.read.parquet(str(tmp_path / "codes")), "17149")
+    text = plan(df)
+    assert "GreaterThanOrEqual(geo_code,17149)" in text and "LessThanOrEqual(geo_code,171499)" in text
+    assert df.count() == 11
