@@ -361,6 +361,9 @@ SQL: dict[str, str] = {
         WHEN regexp_matches(text, '(?i)der') THEN 'de' WHEN regexp_matches(text, '(?i)les') THEN 'fr'
         ELSE 'unknown' END AS level FROM documents""",
     "dim_geo": f"WITH {GEO} SELECT * FROM geo",
+    "maintained_dim_geo": "WITH " + GEO.replace(
+        "min(geo_name_raw) AS raw FROM atomic", "min(CASE WHEN dataset_id = 227 THEN '#' ELSE '' END || geo_name_raw) AS raw FROM atomic WHERE dataset_id <> 228"
+    ) + " SELECT * FROM geo",
     "dim_geo_region_code": f"""WITH {GEO} SELECT *, substr(CAST(geo_code AS VARCHAR), 1, 4) AS region_code FROM geo""",
     "fact_population_yearly": f"""WITH {ATOMIC} SELECT {_fact_columns}, value AS population_cnt FROM atomic
         WHERE metric_group = 'population'""",

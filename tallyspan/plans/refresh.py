@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
+from tallyspan.operators import dimension
 from tallyspan.operators.quality import REPORT
 from tallyspan.plans import checks, ingest
 from tallyspan.plans import warehouse as wh
 from tallyspan.session import new_shared_path
 from tallyspan.sources import audit, replace, seeds
 
-ATOMIC, STATE, TESTS = "int_demography_atomic", "_state", "_tests"
+ATOMIC, STATE, TESTS, NAMES = "int_demography_atomic", "_state", "_tests", "_geo_names"
 #: What each stored model is built from: other models, seeds, and the metrics of the atomic table (None: all).
 EDGES: dict[str, tuple[tuple[str, ...], frozenset[str] | None]] = {
     "dim_geo": (("geo_override",), None),
@@ -116,7 +117,7 @@ def refresh(
     metrics = {}
     for r in dictionary.select("dataset_id", "metric_key").where("dataset_id is not null and metric_key is not null").distinct().collect():
         metrics.setdefault(str(r.dataset_id), []).append(r.metric_key)
-    everything = inputs["atomic"] != before.inputs.get("atomic") or not replace.exists(spark, f"{root}/{ATOMIC}")
+    everything = inputs["atomic"] != before.inputs.get("atomic") or not all(replace.exists(spark, f"{root}/{name}") for name in (ATOMIC, NAMES))
     changed = sorted(i for i in now if everything or now[i] != before.datasets.get(i))
     retired = sorted(set(before.datasets) - set(now))
     done, tests = [f"dataset={i}" for i in changed], read_tests(spark, root)
@@ -126,6 +127,7 @@ def refresh(
         tests |= {row[:3]: row for row in ingest.store_atomic(spark, staging, dictionary, f"{root}/{ATOMIC}")}
         left = ingest.rejected_audited(spark, records, sources=taken, **build)
         replace.replaced(spark, f"{root}/rejects", lambda path: left.write.partitionBy("dataset_id").parquet(path))
+        replace.replaced(spark, f"{root}/{NAMES}", lambda path: _write_names(wh.read_atomic(spark, f"{root}/{ATOMIC}"), path))
     elif changed or retired:
         places = {i: {*before.metrics.get(i, []), *metrics.get(i, [])} for i in [*changed, *retired]}
         found = _rebuild(spark, records, taken, root, changed, retired, places, dictionary, build)
@@ -134,7 +136,8 @@ def refresh(
     touched = {m for i in [*changed, *retired] for m in [*metrics.get(i, []), *before.metrics.get(i, [])]}
     names = affected([name for name, digest in inputs.items() if digest != before.inputs.get(name)], touched)
     atomic = wh.read_atomic(spark, f"{root}/{ATOMIC}")
-    tests |= write_models(spark, root, names, atomic, prefix, overrides)
+    base = dimension.representatives(spark.read.schema(NAMES_SCHEMA).parquet(f"{root}/{NAMES}"), "geo_code", "geo_name_raw")
+    tests |= write_models(spark, root, names, atomic, prefix, overrides, base)
     done += names
     if done:
         write_tests(spark, root, tests)
@@ -143,12 +146,16 @@ def refresh(
 
 
 def write_models(
-    spark: SparkSession, root: str, names: Collection[str], atomic: DataFrame, prefix: str | None, overrides: DataFrame
+    spark: SparkSession, root: str, names: Collection[str], atomic: DataFrame, prefix: str | None, overrides: DataFrame, base: DataFrame | None = None
 ) -> dict[tuple, tuple]:
-    """Write models level by level, those of a level side by side; returns their row tests."""
+    """Write models level by level, those of a level side by side; returns their row tests.
+
+    ``base`` is one raw name per geography, where it is known without the facts.
+    """
+    derived = wh.dim_geo(atomic, overrides) if base is None else wh.dim_geo_of(base, overrides)
     tests: dict[tuple, tuple] = {}
     for level in levels(names):
-        geo = wh.dim_geo(atomic, overrides) if "dim_geo" in level else spark.read.parquet(f"{root}/dim_geo")
+        geo = derived if "dim_geo" in level else spark.read.parquet(f"{root}/dim_geo")
         models = wh.build_models(spark, atomic, prefix, geo)
         for rows in side_by_side([lambda n=name, df=models[name]: _write_model(spark, n, df, root) for name in level]):
             tests |= rows
@@ -189,12 +196,27 @@ def _rebuild(
         tests = {row[:3]: row for row in staging.report() if row[0] in mine_only}
         left = ingest.rejected_audited(spark, mine, sources=some, **build)
         left.write.mode("append").partitionBy("dataset_id").parquet(f"{root}/rejects")
+        # the names of the changed datasets only; the dimension is derived from these counts
+        stored = wh.read_atomic(spark, f"{root}/{ATOMIC}").where(F.col("dataset_id").isin(ids))
+        if filled:
+            _write_names(stored.where(F.concat_ws("/", "dataset_id", "metric_key").isin([f"{i}/{m}" for i, m in filled])), f"{root}/{NAMES}")
+    nameless = set(places) - {i for i, _ in filled}
+    replace.removed(spark, [f"{root}/{NAMES}/dataset_id={i}" for i in nameless])
     # partitions that only an earlier state filled
     old = [(i, m) for i, found in places.items() for m in found if (i, m) not in filled]
     replace.removed(spark, [f"{root}/{ATOMIC}/metric_key={m}/dataset_id={i}" for i, m in old])
     return tests
 
 
+NAMES_SCHEMA = "geo_code bigint, geo_name_raw string, n_rows bigint, dataset_id int"
+
+
+def _write_names(atomic: DataFrame, path: str) -> None:
+    """How often each dataset names a geography how; replaces the partitions of the datasets in the rows."""
+    counts = dimension.name_counts(atomic, "geo_code", "geo_name_raw", "dataset_id")
+    counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset_id").parquet(path)
+
+
 def read_tests(spark: SparkSession, root: str) -> dict[tuple, tuple]:
     """Row tests as counted at the last write of each table, by table, column and test."""
     if not replace.exists(spark, f"{root}/{TESTS}"):

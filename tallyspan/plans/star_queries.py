@@ -424,6 +424,19 @@ def dim_geo(spark, sf):
     return _geo(spark, sf)
 
 
+@query
+def maintained_dim_geo(spark, sf):
+    """The dimension from merged name counts: one dataset came with names of its own, one with the smallest names left."""
+    own = F.when(F.col("dataset_id") == 227, F.lit("#")).when(F.col("dataset_id") == 228, F.lit("!")).otherwise(F.lit(""))
+    rows = star.atomic(spark, sf).withColumn("geo_name_raw", F.concat(own, "geo_name_raw"))
+
+    def counts(where: str) -> DataFrame:
+        return dimension.name_counts(rows.where(where), "geo_code", "geo_name_raw")
+
+    names = dimension.merged_names([counts("dataset_id <> 227"), counts("dataset_id = 227")], [counts("dataset_id = 228")], "geo_code", "geo_name_raw")
+    return wh.dim_geo_of(dimension.representatives(names, "geo_code", "geo_name_raw"), seeds.geo_override(spark))
+
+
 @query
 def dim_geo_region_code(spark, sf):
     return scope.with_region_code(_geo(spark, sf))

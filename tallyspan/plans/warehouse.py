@@ -155,7 +155,11 @@ def read_atomic(spark: SparkSession, path: str) -> DataFrame:
 
 def dim_geo(atomic: DataFrame, overrides: DataFrame) -> DataFrame:
     """Geographies found in the facts, with clean names and levels."""
-    base = dimension.discover_dimension(atomic, "geo_code", "geo_name_raw")
+    return dim_geo_of(dimension.discover_dimension(atomic, "geo_code", "geo_name_raw"), overrides)
+
+
+def dim_geo_of(base: DataFrame, overrides: DataFrame) -> DataFrame:
+    """The dimension over one raw name per geography."""
     named = dimension.override_names(base, overrides, "geo_code", "geo_name_raw", "geo_name_clean", "geo_name")
     levelled = dimension.classify(named, "geo_name_raw", fv.GEO_LEVEL_PATTERNS, fv.GEO_LEVEL_UNKNOWN, "geo_level")
     return levelled.select("geo_code", "geo_name", "geo_level")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspan import jobs
-from tallyspan.operators import quality
+from tallyspan.operators import dimension, quality
 from tallyspan.operators.quality import Rule
 from tallyspan.plans import checks, ingest, refresh
 from tallyspan.plans import warehouse as wh
@@ -109,6 +109,35 @@ def test_a_new_dictionary_rebuilds_all(spark, landed):
     assert keys == {"girls"}
 
 
+def test_a_name_leaves_with_its_last_dataset(spark, landed):
+    raw, sources, root = landed
+    for i in (223, 224, 226, 246):
+        land(raw, i, codes=(1718001,))
+    land(raw, 225, name="A smallest name", codes=(1718001,))
+    refresh.refresh(spark, sources, root, None)
+
+    def names():
+        return {r.geo_name_raw for r in spark.read.parquet(f"{root}/{refresh.NAMES}").collect()}, {r.geo_name for r in spark.read.parquet(f"{root}/dim_geo").collect()}
+
+    assert names() == ({"A smallest name", "Namangan shahri"}, {"A smallest name"})
+    del sources[225]
+    refresh.refresh(spark, sources, root, None)
+    assert names() == ({"Namangan shahri"}, {"Namangan shahri"})
+    land(raw, 224, name="B name", codes=(1718001,))
+    refresh.refresh(spark, sources, root, None)
+    assert names()[1] == {"B name"} and stored(spark, root) == full(spark, sources)
+
+
+def test_merged_names_are_those_of_all_facts(spark):
+    facts = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c"), (None, "d"), (3, None)], "k int, name string")
+    gone = facts.where("name = 'a'")
+    counts = dimension.name_counts(facts, "k", "name")
+    merged = dimension.merged_names([counts], [dimension.name_counts(gone, "k", "name")], "k", "name")
+    assert rows(dimension.representatives(merged, "k", "name")) == rows(dimension.discover_dimension(facts.where("name is null or name <> 'a'"), "k", "name"))
+    one = dimension.merged_names([counts], [dimension.name_counts(gone.limit(1), "k", "name")], "k", "name")
+    assert rows(dimension.representatives(one, "k", "name")) == rows(dimension.discover_dimension(facts, "k", "name"))
+
+
 def test_rejects_follow_their_dataset(spark, landed):
     raw, sources, root = landed
     land(raw, 224, name="x", codes=("bad", 1714401))
