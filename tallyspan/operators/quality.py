@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -87,6 +89,16 @@ ROW_TESTS = ("not_null", "accepted_values")
 REPORT = "table_name string, column_name string, test string, n_rows bigint, n_failed bigint, passed boolean"
 
 
+def metrics_of(seen: Observation, frame: DataFrame) -> Mapping[str, int]:
+    """What was counted while the frame was written; zeros where the planner saw that it has no rows and observed nothing."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        if not frame.isEmpty():
+            raise
+        return defaultdict(int)
+
+
 @dataclass
 class Observed:
     """Row tests of a frame that are counted while it is written.
@@ -102,6 +114,7 @@ class Observed:
     seen: Observation = field(default_factory=Observation)
 
     def __post_init__(self) -> None:
+        self.plain = self.frame
         self.wheres = list(dict.fromkeys(where for _, where in self.rules))
         counts = [F.expr(f"count_if({where})").alias(f"n{i}") for i, where in enumerate(self.wheres)]
         counts += [F.expr(f"count_if(({where}) and ({_failure(rule)}))").alias(f"f{i}") for i, (rule, where) in enumerate(self.rules)]
@@ -112,7 +125,7 @@ class Observed:
         """Report rows, after the frame was written."""
         if not self.rules:
             return []
-        found = self.seen.get
+        found = metrics_of(self.seen, self.plain)
         out = []
         for i, (rule, where) in enumerate(self.rules):
             n, failed = found[f"n{self.wheres.index(where)}"], found[f"f{i}"]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyspan import fixed_values as fv
 from tallyspan.operators import dimension
-from tallyspan.operators.quality import REPORT
+from tallyspan.operators.quality import REPORT, metrics_of
 from tallyspan.plans import checks, ingest
 from tallyspan.plans import warehouse as wh
 from tallyspan.session import new_shared_path
@@ -186,12 +186,13 @@ def _rebuild(
         some = {i: sources[i] for i in ids}
         staging = checks.observed_staging(ingest.scan_audited(spark, mine, sources=some, **build))
         counts = Observation()
-        rows = wh.demography_atomic(staging.frame, dictionary)
+        plain = wh.demography_atomic(staging.frame, dictionary)
         wanted = sorted({(i, m) for i in changed for m in places[i]})
         held = [F.count_if((F.col("dataset_id") == int(i)) & (F.col("metric_key") == m)).alias(f"n{k}") for k, (i, m) in enumerate(wanted)]
-        rows = rows.observe(counts, F.count(F.lit(1)).alias("n"), *held)
+        rows = plain.observe(counts, F.count(F.lit(1)).alias("n"), *held)
         wh.write_atomic(rows, f"{root}/{ATOMIC}", dynamic=True)
-        filled = {place for k, place in enumerate(wanted) if counts.get[f"n{k}"]}
+        found = metrics_of(counts, plain)
+        filled = {place for k, place in enumerate(wanted) if found[f"n{k}"]}
         mine_only = {f"stg_sdmx_{i}_long" for i in ids}
         tests = {row[:3]: row for row in staging.report() if row[0] in mine_only}
         left = ingest.rejected_audited(spark, mine, sources=some, **build)

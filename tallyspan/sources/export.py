@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan.operators.quality import metrics_of
 from tallyspan.sources.replace import replaced
 
 EXPORT_STATUS = "table_name string, status string, rows bigint, message string"
@@ -27,7 +28,7 @@ def export_tables(spark: SparkSession, names: Iterable[str], out_dir: str) -> Da
             seen = Observation()
             counted = spark.table(name).observe(seen, F.count(F.lit(1)).alias("rows"))
             replaced(spark, f"{out_dir.rstrip('/')}/{name}", lambda path, df=counted: df.write.csv(path, header=True, escape='"'))
-            report.append((name, "ok", seen.get["rows"], None))
+            report.append((name, "ok", metrics_of(seen, spark.table(name))["rows"], None))
         except (PySparkException, Py4JJavaError, OSError) as error:
             reason = error.getCondition() if isinstance(error, PySparkException) else None
             report.append((name, "failed", None, reason or type(error).__name__))

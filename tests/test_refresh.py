@@ -222,6 +222,15 @@ def test_observed_rules_report_as_scans_do(spark, tmp_path):
     assert quality.Observed(df, []).report() == []
 
 
+def test_tables_that_are_seen_to_be_empty_count_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "k int, v string").where("false")
+    seen = quality.Observed(df, quality.row_rules([Rule("t", "k", "not_null")], {"t": "true"}))
+    seen.frame.write.parquet(str(tmp_path / "t"))
+    assert seen.report() == [("t", "k", "not_null", 0, 0, True)]
+    catalog.register_views({"nothing": df})
+    assert rows(export.export_tables(spark, ["nothing"], str(tmp_path / "out"))) == [("nothing", "ok", 0, None)]
+
+
 def test_the_suite_scans_only_for_keys(spark, landed, plan):
     _, sources, root = landed
     models = jobs.build_warehouse(spark, sources, root, None)
