@@ -42,7 +42,8 @@ def staging_long(
     :func:`rejects` lists them all.
     """
     cells = _raw_cells(wide, years, dataset_id, code, name)
-    return cells.withColumn("value", _number("cell")).where("value is not null").select(*STAGING_COLUMNS)
+    # not "value is not null": the optimizer would put the whole conversion into the filter and do it again behind it
+    return cells.where(_is_number("cell")).withColumn("value", _as_double("cell")).select(*STAGING_COLUMNS)
 
 
 def rejected_cells(
@@ -64,31 +65,50 @@ def rejects(wide: DataFrame, years: Sequence[str], code: str = "Code", name: str
     raw row), ``code`` (filled, but no whole number) and ``cell`` (filled, but
     no number).
     """
-    text = F.col(code).cast("string")
-    rows = wide.select(
-        F.col("dataset_id").cast("int").alias("dataset_id"),
-        text.alias("code"),
-        F.col(name).alias("geo_name_raw"),
-        F.lit(None).cast("int").alias("year"),
-        F.when(_is_broken(wide), F.col(BROKEN) if BROKEN in wide.columns else F.lit(None)).otherwise(text).alias("found"),
-        F.when(_is_broken(wide), F.lit("fields")).when(is_bad_code(code), F.lit("code")).alias("reason"),
-    ).where("reason is not null")
-    cells = _raw_cells(wide, years, None, code, name).where(_is_bad())
-    return rows.union(cells.select("dataset_id", F.col("geo_code").cast("string"), "geo_name_raw", "year", "cell", F.lit("cell")))
+    # One pass: a row is taken apart only where its code, its fields or, as one look at all of them tells, a cell may be at fault.
+    years = scope.existing(wide, list(years))
+    cells = [F.col(f"`{y}`").cast("string") for y in years]
+    suspect = ~F.array_join(F.array(*cells), ",", "").rlike(plain_cells(len(years))) if years else F.lit(False)
+    text, at_fault = F.col(code).cast("string"), _is_broken(wide) | is_bad_code(code)
+    nothing = F.lit(None).cast("int")
+
+    def item(code: Column, year: Column, found: Column, reason: Column) -> Column:
+        return F.struct(code.alias("code"), year.alias("year"), found.alias("found"), reason.alias("reason"))
+
+    broken = F.col(BROKEN) if BROKEN in wide.columns else F.lit(None).cast("string")
+    whole = item(text, nothing, F.when(_is_broken(wide), broken).otherwise(text), F.when(_is_broken(wide), F.lit("fields")).otherwise(F.lit("code")))
+    number = code_number(code).cast("string")
+    single = [item(number, F.lit(y).cast("int"), cell, F.lit("cell")) for y, cell in zip(years, cells, strict=True)]
+    bad = F.filter(F.array(*single), lambda x: _is_bad(x["found"])) if single else F.array(whole).cast(ITEMS)
+    items = F.when(at_fault, F.array(whole).cast(ITEMS)).otherwise(bad.cast(ITEMS))
+    found = wide.where(at_fault | suspect).select(F.col("dataset_id").cast("int").alias("dataset_id"), F.col(name).alias("geo_name_raw"), F.inline(items))
+    return found.select("dataset_id", "code", "geo_name_raw", "year", "found", "reason")
+
+
+ITEMS = "array<struct<code: string, year: int, found: string, reason: string>>"
+
+
+def plain_cells(n: int) -> str:
+    """Pattern of n cells, joined by commas, that are all empty or plain decimals far from the bounds of a double; a comma in a cell does not match."""
+    cell = r" *(?:[+-]?\d{1,300}(?:\.\d*)?)? *"
+    return rf"^{cell}(?:,{cell}){{{n - 1}}}\z"
 
 
 #: A decimal number; suffixes, hexadecimal, NaN and infinities are none, nor is what a double cannot hold.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def _number(cell: str) -> Column:
-    text = F.btrim(cell)
-    value = F.when(text.rlike(NUMBER), text).try_cast("double")
-    return F.when(F.abs(value) < float("inf"), value)
+def _as_double(cell: str | Column) -> Column:
+    return F.btrim(cell).try_cast("double")
+
+
+def _is_number(cell: str | Column) -> Column:
+    """Null for a null cell, and for a number's text that a double cannot be read from."""
+    return F.btrim(cell).rlike(NUMBER) & (F.abs(_as_double(cell)) < float("inf"))
 
 
-def _is_bad(cell: str = "cell") -> Column:
-    return (F.btrim(F.col(cell)) != "") & _number(cell).isNull()
+def _is_bad(cell: str | Column = "cell") -> Column:
+    return (F.btrim(cell) != "") & ~F.coalesce(_is_number(cell), F.lit(False))
 
 
 def _is_broken(wide: DataFrame) -> Column:
@@ -99,14 +119,12 @@ def _raw_cells(wide: DataFrame, years: Sequence[str], dataset_id: int | None, co
     tagged = wide if dataset_id is None else wide.withColumn("dataset_id", F.lit(dataset_id))
     tagged = tagged.where(~_is_broken(tagged) & ~is_bad_code(code))
     present = scope.existing(tagged, list(years))
-    long = reshape.unpivot_long(tagged, ["dataset_id", code, name], present, "year", "cell", "string")
-    return long.select(
-        F.col("dataset_id").cast("int").alias("dataset_id"),
-        code_number(code).alias("geo_code"),
-        F.col(name).alias("geo_name_raw"),
-        F.col("year").cast("int").alias("year"),
-        "cell",
-    )
+    # what a row's cells share is read once per row
+    rows = tagged.select(
+        F.col("dataset_id").cast("int").alias("dataset_id"), code_number(code).alias("geo_code"), F.col(name).alias("geo_name_raw"), *[f"`{y}`" for y in present]
+    )
+    long = reshape.unpivot_long(rows, ["dataset_id", "geo_code", "geo_name_raw"], present, "year", "cell", "string")
+    return long.withColumn("year", F.col("year").cast("int"))
 
 
 def demography_atomic(long: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -427,3 +427,41 @@ def test_raw_tables_of_differing_files_are_refused(spark, tmp_path):
     (folder / "b.csv").write_text("Code,2010,Klassifikator\n1,1,a\n")
     with pytest.raises(ValueError, match="differ"):
         catalog.register_sources(spark, {223: str(folder)}, "raw_differ")
+
+
+# --- at size -----------------------------------------------------------------
+
+
+def test_files_are_profiled_by_many_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"sdmx_data_{i}.csv").write_text("Code,2010\n1714,1\n")
+    found = audit.profile_files(spark, str(tmp_path)).select("path", F.spark_partition_id().alias("task")).collect()
+    assert len(found) == 40 and len({r.task for r in found}) > 1
+
+
+def test_rejects_are_found_in_one_scan(spark, tmp_path, plan):
+    long_number, late = "9" * 400, "12\u0085"
+    cells = {  # as found, and whether the cell is no number
+        "1": False, "7": False, " +1.5 ": False, "1e3": False, ".5": False, "5.": False, "": False, "  ": False, "12\n": False, "9" * 308: False,
+        "1e999": True, long_number: True, "0x1p3": True, "1d": True, "NaN": True, "1,2": True, "1,": True, ",": True, late: True, "\n": True, "x": True,
+    }
+    rows = [(223, str(i), f"n{i}", cell, other) for i, cell in enumerate(cells) for other in (None, "7", cell)]
+    rows += [(223, "bad", "n", "x", "1"), (223, None, "n", "x", None), (223, " ", "n", None, None), (None, "+4", "n", None, "y")]
+    wide = spark.createDataFrame(rows, "dataset_id int, Code string, Klassifikator string, `2010` string, `2024` string")
+    want = []
+    for i, code, name, *found in rows:
+        if code == "bad":
+            want.append((i, code, name, None, code, "code"))
+            continue
+        number = None if code is None or not code.strip() else str(int(code))
+        want += [(i, number, name, y, c, "cell") for y, c in zip((2010, 2024), found, strict=True) if c is not None and cells.get(c, True)]
+    got = wh.rejects(wide, wh.YEARS)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    long = sorted((r.geo_name_raw, r.year, r.value) for r in wh.staging_long(wide, wh.YEARS).collect())
+    kept = [(n, y, float(c)) for _, code, n, *found in rows if code != "bad" for y, c in zip((2010, 2024), found, strict=True)
+            if c is not None and c.strip() and not cells.get(c, True)]
+    assert long == sorted(kept)
+    wide.drop("dataset_id").write.csv(str(tmp_path / "source=sdmx_data_223"), header=True, escape='"')
+    scanned = wide_csv.scan(spark, wide_csv.header_groups(spark, {223: str(tmp_path / "source=sdmx_data_223")})[0])
+    assert plan(wh.rejects(scanned, wh.YEARS)).count("FileScan csv") == 1
+    assert plan(wh.staging_long(scanned, wh.YEARS)).count("RLIKE") == 1
