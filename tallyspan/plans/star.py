@@ -121,10 +121,12 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_long(spark: SparkSession, sf_dir: str, ids: Collection[int] = DATASETS) -> DataFrame:
-    """The datasets in the staging contract."""
+def staged_long(spark: SparkSession, sf_dir: str, ids: Collection[int] = DATASETS, together: bool = False) -> DataFrame:
+    """The datasets in the staging contract; all rows of a geography in one partition with ``together``."""
     scaled = [f"`{i}` / 100000D as `{i}`" if i in VALUE_RULES else f"`{i}`" for i in sorted(ids)]
     wide = measures_by_geo(spark, sf_dir, ids).selectExpr("geo_code", "geo_name_raw", "year", *scaled)
+    if together:
+        wide = wide.repartition("geo_code", "geo_name_raw")
     columns = [str(i) for i in sorted(ids)]
     long = reshape.unpivot_long(wide, ["geo_code", "geo_name_raw", "year"], columns, "dataset_id")
     return long.withColumn("dataset_id", F.col("dataset_id").cast("int")).select(*STAGING_COLUMNS)
@@ -140,9 +142,13 @@ def atomic(spark: SparkSession, sf_dir: str, keys: Iterable[str] | None = None)
 
 
 def wide_extracts(spark: SparkSession, sf_dir: str, ids: Collection[int] = DATASETS) -> DataFrame:
-    """The datasets in their published layout: one row per geography, one column per year."""
+    """The datasets in their published layout: one row per geography, one column per year.
+
+    A geography's years meet while they are one row for all datasets: the tasks
+    then pivot them whole, and no year is exchanged as a row of its own.
+    """
     wide = reshape.pivot_max(
-        staged_long(spark, sf_dir, ids),
+        staged_long(spark, sf_dir, ids, together=True),
         ["dataset_id", "geo_code", "geo_name_raw"],
         {y: F.col("year") == int(y) for y in YEARS},
     )

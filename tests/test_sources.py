@@ -3,11 +3,12 @@
 import hashlib
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspan.plans import ingest
+from tallyspan.plans import ingest, star
 from tallyspan.plans import warehouse as wh
 from tallyspan.session import new_shared_path, shared_dir
 from tallyspan.sources import audit, catalog, export, manifest, seeds, wide_csv
@@ -465,3 +466,8 @@ def test_rejects_are_found_in_one_scan(spark, tmp_path, plan):
     scanned = wide_csv.scan(spark, wide_csv.header_groups(spark, {223: str(tmp_path / "source=sdmx_data_223")})[0])
     assert plan(wh.rejects(scanned, wh.YEARS)).count("FileScan csv") == 1
     assert plan(wh.staging_long(scanned, wh.YEARS)).count("RLIKE") == 1
+
+
+def test_extracts_meet_by_geography_before_their_pivot(spark, plan):
+    text = plan(star.wide_extracts(spark, "/root/testdata/sf0.001"))
+    assert re.search(r"hashpartitioning\(geo_code#\d+L, geo_name_raw#\d+, \d+\), REPARTITION_BY_COL", text)
